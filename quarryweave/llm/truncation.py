@@ -16,97 +16,102 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Terminal share below which a last n-gram tells of a cut; the same with a mark or at a field limit.
+from quarryweave.plans import materialise
+
+#: Terminal share below which a last n-gram tells of a cut; the same with a mark or at a field limit.  Only
+#: ends inside texts count, as those of whole texts hold the cuts themselves.
 SHARE, MARKED_SHARE = 0.02, 0.6
 #: Occurrences from which a trigram, a bigram tell something, and the word before an unknown pair.
 LEAST_3, LEAST_2, LEAST_BEFORE = 4, 8, 50
+#: Texts that share the opening of their last line, from which it may be a closing line.
+LEAST_CLOSED = 3
 #: Texts and share of a source's texts of one length that make it a field limit; no limit is shorter.
 LIMIT_TEXTS, LIMIT_PART, LIMIT_LENGTH = 5, 0.02, 100
 
 #: Words the cut may have put at the end in brackets (fixed values).
 OMISSION_WORDS = ["more", "continued", "truncated", "cut", "fortsetzung", "gekürzt", "weiter", "未完", "更多", "…", "..."]
 
-_TOKEN = r"\n|\p{IsHan}|[\p{L}\p{M}&&[^\p{IsHan}]]+|#|[^\s\p{L}\p{M}\p{N}]"
+#: Characters at the end of a text in which a mark of omission and the last tokens are looked for.
+MARK_ROOM, TAIL_ROOM = 60, 1000
+
+_TOKEN = r"[a-zß-öø-ÿ]+|\p{IsHan}|\p{N}+(?:[.,]\p{N}+)*|[\p{L}\p{M}]+|\n|\S"
 _OMITTED = "|".join(w.replace(".", r"\.") for w in OMISSION_WORDS)
-_MARK = r"(?:\s*(?:…|\.\.\.)?\s*[(\[](?:" + _OMITTED + r")[)\]]|\s*(?:…|\.\.\.)|\x{FFFD}+)\s*$"
-_BLANK = r"[\s\p{Z}\x{200B}\x{FEFF}\x00]+$"
-
-_SQL = r"""
-WITH raw AS (
-  SELECT {row} AS row_id, {source} AS source, {text} AS text, xxhash64({text}) AS copy,
-         regexp_replace({text}, r'{blank}', '') AS bare
-  FROM {{docs}} WHERE {text} IS NOT NULL
-), body AS (
-  SELECT row_id, source, copy, length(text) AS n_chars, octet_length(text) AS n_bytes, length(bare) AS n_bare, bare RLIKE r'(?i){mark}' AS marked, bare RLIKE '\\x{{FFFD}}$' AS broken,
-         regexp_replace(regexp_replace(bare, r'(?i){mark}', ''), r'{blank}', '') AS body
-  FROM raw WHERE bare <> ''
-), marked_ends AS (
-  SELECT * EXCEPT (body), length(body) AS n_body, body,
-         lower(regexp_replace(regexp_replace(regexp_replace(body, r'\p{{N}}+(?:[.,]\p{{N}}+)*', '#'),
-           r'([.!?]["”’)\]]*)[ \t]+(?=["“(\[]*[\p{{Lu}}\p{{IsHan}}])', '$1\n'), r'([。！？]["”’）」]*)', '$1\n')) AS flat
-  FROM body WHERE body <> ''
-), tokens AS (
-  SELECT row_id, copy, concat(array('^', '^'), regexp_extract_all(regexp_replace(flat, r'\n+$', ''), r'{token}', 0)) AS t FROM marked_ends
-), inside AS (
-  SELECT g.h3, g.h2, g.h1, sum(g.ends) AS ends, count(*) AS n FROM (
-    SELECT explode(transform(sequence(3, size(t) - 1), i -> named_struct(
-      'h3', xxhash64(t[i - 3], t[i - 2], t[i - 1]), 'h2', xxhash64(t[i - 2], t[i - 1]), 'h1', xxhash64(t[i - 1]),
-      'ends', IF(t[i] IN ('\n', '.', '!', '?', '。', '！', '？') AND t[i - 1] <> '\n', 1, 0)))) AS g
-    FROM tokens WHERE size(t) > 3)
-  GROUP BY g.h3, g.h2, g.h1
-), inside3 AS (SELECT h3, sum(ends) AS ends, sum(n) AS n FROM inside GROUP BY h3
-), inside2 AS (SELECT h2, sum(ends) AS ends, sum(n) AS n FROM inside GROUP BY h2
-), inside1 AS (SELECT h1, sum(ends) AS ends, sum(n) AS n FROM inside GROUP BY h1
-), last AS (
-  SELECT m.*, xxhash64(k.a, k.b, k.c) AS h3, xxhash64(k.b, k.c) AS h2, xxhash64(k.c) AS h1, xxhash64(k.b) AS h0, k.c AS final_token,
-         xxhash64('\n', element_at(line, 1), element_at(line, 2)) AS opening,
-         regexp_extract(m.body, r'([^\n]*)$', 1) AS last_line, regexp_extract(m.body, r'([^\n]*)\n[^\n]*$', 1) AS line_before
-  FROM (SELECT row_id, source, copy, n_chars, n_bytes, n_bare, n_body, marked, broken, body, regexp_extract_all(regexp_extract(regexp_replace(flat, r'\n+$', ''), r'([^\n]*)$', 1), r'{token}', 0) AS line FROM marked_ends) m
-  JOIN (SELECT row_id, copy, element_at(t, -3) AS a, element_at(t, -2) AS b, element_at(t, -1) AS c FROM tokens) k ON k.row_id = m.row_id AND k.copy = m.copy
-)
+_MARK = r"(?i)(?:\s*(?:…|\.\.\.)?\s*[(\[](?:" + _OMITTED + r")[)\]]|\s*(?:…|\.\.\.)|\x{FFFD}+)\s*$"
+#: What counts as blank at the end of a text.
+_BLANKS = "".join(map(chr, [0, *range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
+_BLANK = "decode(unhex('" + _BLANKS.encode().hex() + "'), 'UTF-8')"
+
+#: The text without blanks and a mark of omission at its end, and what tells of them.
+_BODY = rf"""
+  SELECT row_id, source, copy, n_chars, n_bytes, length(bare) AS n_bare, ending RLIKE r'{_MARK}' AS marked, ending RLIKE r'\x{{FFFD}}$' AS broken,
+         rtrim({_BLANK}, concat(left(bare, length(bare) - length(ending)), regexp_replace(ending, r'{_MARK}', ''))) AS body
+  FROM (SELECT *, right(bare, {MARK_ROOM}) AS ending FROM (
+    SELECT row_no AS row_id, source_name AS source, xxhash64(body_text) AS copy, length(body_text) AS n_chars, octet_length(body_text) AS n_bytes, rtrim({_BLANK}, body_text) AS bare
+    FROM {{texts}} WHERE body_text IS NOT NULL) WHERE bare <> '')
 """
 
 
-def _prepared(row: str, text: str, source: str) -> str:
-    return _SQL.format(row=row, text=text, source=source, blank=_BLANK, mark=_MARK, token=_TOKEN)
+def _number(token: str) -> str:
+    """SQL: any number as one sign."""
+    return f"IF({token} >= '0' AND {token} < ':', '#', {token})"
+
 
+#: Trigrams of all texts, with how often each is followed by an end.
+_INSIDE = rf"""
+SELECT xxhash64(a, b, c) AS h3, xxhash64(b, c) AS h2, xxhash64(c) AS h1, sum(IF(d IN ('\n', '.', '!', '?', '。', '！', '？'), 1, 0)) AS ends, count(*) AS n
+FROM (SELECT {_number("a")} AS a, {_number("b")} AS b, {_number("c")} AS c, d FROM (
+  SELECT inline(arrays_zip(t, slice(t, 2, size(t)), slice(t, 3, size(t)), slice(t, 4, size(t)))) AS (a, b, c, d)
+  FROM (SELECT concat(array('^', '^'), regexp_extract_all(lower(body), r'{_TOKEN}', 0)) AS t FROM ({_BODY})))
+  WHERE d IS NOT NULL AND c <> '\n')
+GROUP BY xxhash64(a, b, c), xxhash64(b, c), xxhash64(c)
+"""
+
+#: The last tokens and the last line of every text.
+_LAST = rf"""
+SELECT row_id, source, copy, n_chars, n_bytes, n_bare, n_body, marked, broken, last_line RLIKE r'^\s*\|' AS in_table,
+       NOT last_line RLIKE r'\|$' OR (line_before RLIKE r'^\s*\|' AND length(last_line) - length(replace(last_line, '|', '')) < length(line_before) - length(replace(line_before, '|', ''))) AS row_open,
+       c AS final_token, xxhash64(a, b, c) AS h3, xxhash64(b, c) AS h2, xxhash64(c) AS h1, xxhash64(b) AS h0,
+       IF(second IS NULL, NULL, transform(array('\n', '.', '。'), x -> xxhash64(x, first, second))) AS openings, IF(second IS NULL, NULL, xxhash64(first, second)) AS opening
+FROM (
+  SELECT *, {_number("get(t, size(t) - 3)")} AS a, {_number("get(t, size(t) - 2)")} AS b, {_number("get(t, size(t) - 1)")} AS c, {_number("get(line, 0)")} AS first, {_number("get(line, 1)")} AS second
+  FROM (
+    SELECT *, concat(array('^', '^'), regexp_extract_all(lower(ending), r'{_TOKEN}', 0)) AS t, regexp_extract_all(lower(substring_index(sentences, '\n', -1)), r'{_TOKEN}', 0) AS line
+    FROM (
+      SELECT row_id, source, copy, n_chars, n_bytes, n_bare, length(body) AS n_body, marked, broken, right(body, {TAIL_ROOM}) AS ending, substring_index(body, '\n', -1) AS last_line,
+             substring_index(substring_index(body, '\n', -2), '\n', 1) AS line_before, regexp_replace(right(body, {TAIL_ROOM}), r'([.!?]["”’)\]]*\s+|[。！？]["”’）」]*\s*)(?!$)', '$1\n') AS sentences
+      FROM ({_BODY}) WHERE body <> '')))
+"""
 
-def statement(row: str, text: str, source: str) -> str:
-    """The whole SQL statement over the view ``{docs}``."""
-    head = _prepared(row, text, source)
-    return (
-        head
-        + rf"""
-, ends3 AS (SELECT h3, count(DISTINCT copy) AS m FROM last GROUP BY h3
-), ends2 AS (SELECT h2, count(DISTINCT copy) AS m FROM last GROUP BY h2
-), openings AS (SELECT opening, count(DISTINCT copy) AS m FROM last GROUP BY opening
-), per_source AS (SELECT source, count(DISTINCT copy) AS all_texts FROM last GROUP BY source
+_JUDGED = rf"""
+WITH inside3 AS (SELECT h3, sum(ends) AS ends, sum(n) AS n FROM {{inside}} GROUP BY h3
+), inside2 AS (SELECT h2, sum(ends) AS ends, sum(n) AS n FROM {{inside}} GROUP BY h2
+), inside1 AS (SELECT h1, sum(n) AS n FROM {{inside}} GROUP BY h1
+), openings AS (SELECT opening, count(DISTINCT copy) AS m FROM {{last}} GROUP BY opening
+), per_source AS (SELECT source, count(DISTINCT copy) AS all_texts FROM {{last}} GROUP BY source
+), lengths AS (
+  SELECT source, copy, explode(array(named_struct('kind', 'c', 'size', IF(marked, n_body, n_chars)), named_struct('kind', 'b', 'size', IF(marked, NULL, n_bytes)))) AS x FROM {{last}}
 ), limits AS (
-  SELECT source, kind, size FROM (
-    SELECT source, x.kind, x.size, count(DISTINCT copy) AS m FROM (
-      SELECT source, copy, explode(array(named_struct('kind', 'c', 'size', IF(marked, n_body, n_chars)), named_struct('kind', 'b', 'size', IF(marked, NULL, n_bytes)))) AS x FROM last)
-    WHERE x.size >= {LIMIT_LENGTH} GROUP BY source, x.kind, x.size) JOIN per_source USING (source)
-  WHERE m >= greatest({LIMIT_TEXTS}, {LIMIT_PART} * all_texts)
+  SELECT l.source, l.kind, l.size FROM (SELECT source, x.kind, x.size, count(DISTINCT copy) AS m FROM lengths WHERE x.size >= {LIMIT_LENGTH} GROUP BY source, x.kind, x.size) l
+  JOIN per_source p ON p.source = l.source WHERE m >= greatest({LIMIT_TEXTS}, {LIMIT_PART} * all_texts)
 ), joined AS (
-  SELECT l.*, coalesce(i3.n, 0) + coalesce(e3.m, 1) - 1 AS n3, coalesce(i3.ends, 0) + coalesce(e3.m, 1) - 1 AS t3,
-         coalesce(i2.n, 0) + coalesce(e2.m, 1) - 1 AS n2, coalesce(i2.ends, 0) + coalesce(e2.m, 1) - 1 AS t2,
-         coalesce(i1.n, 0) AS n1, coalesce(i0.n, 0) AS n0,
-         coalesce(io.n, 0) AS opened, coalesce(o.m, 0) AS closed,
+  SELECT l.*, coalesce(i3.n, 0) AS n3, coalesce(i3.ends, 0) AS t3,
+         coalesce(i2.n, 0) AS n2, coalesce(i2.ends, 0) AS t2,
+         coalesce(i1.n, 0) AS n1, coalesce(i0.n, 0) AS n0, coalesce(io.n, 0) + coalesce(ip.n, 0) + coalesce(iq.n, 0) AS opened, coalesce(o.m, 0) AS closed,
          (lc.source IS NOT NULL OR lb.source IS NOT NULL) AND (marked OR n_bare >= n_chars - 1) AS at_limit
-  FROM last l
-  LEFT JOIN inside3 i3 ON i3.h3 = l.h3 LEFT JOIN ends3 e3 ON e3.h3 = l.h3
-  LEFT JOIN inside2 i2 ON i2.h2 = l.h2 LEFT JOIN ends2 e2 ON e2.h2 = l.h2
+  FROM {{last}} l
+  LEFT JOIN inside3 i3 ON i3.h3 = l.h3
+  LEFT JOIN inside2 i2 ON i2.h2 = l.h2
   LEFT JOIN inside1 i1 ON i1.h1 = l.h1 LEFT JOIN inside1 i0 ON i0.h1 = l.h0
-  LEFT JOIN inside3 io ON io.h3 = l.opening LEFT JOIN openings o ON o.opening = l.opening
+  LEFT JOIN inside3 io ON io.h3 = l.openings[0] LEFT JOIN inside3 ip ON ip.h3 = l.openings[1] LEFT JOIN inside3 iq ON iq.h3 = l.openings[2] LEFT JOIN openings o ON o.opening = l.opening
   LEFT JOIN limits lc ON lc.source = l.source AND lc.kind = 'c' AND lc.size = IF(l.marked, l.n_body, l.n_chars)
   LEFT JOIN limits lb ON lb.source = l.source AND lb.kind = 'b' AND lb.size = IF(l.marked, NULL, l.n_bytes)
 ), judged AS (
   SELECT *, CASE
-    WHEN last_line RLIKE r'^\s*\|' THEN NOT last_line RLIKE r'\|$' OR (line_before RLIKE r'^\s*\|' AND length(last_line) - length(replace(last_line, '|', '')) < length(line_before) - length(replace(line_before, '|', '')))
-    WHEN closed >= 5 AND closed >= 0.8 * (opened + 1) AND opened < 2 * closed THEN false
+    WHEN in_table THEN row_open
+    WHEN closed >= {LEAST_CLOSED} AND closed >= 0.8 * opened THEN false
     WHEN n3 >= {LEAST_3} THEN t3 < n3 * IF(marked OR at_limit, {MARKED_SHARE}, {SHARE})
     WHEN n2 >= {LEAST_2} THEN t2 < n2 * IF(marked OR at_limit, {MARKED_SHARE}, {SHARE})
     WHEN n2 = 0 AND n0 >= {LEAST_BEFORE} AND final_token RLIKE r'[\p{{L}}#]' THEN true
@@ -114,8 +119,21 @@ def statement(row: str, text: str, source: str) -> str:
     ELSE (marked OR at_limit) AND NOT final_token RLIKE r'[.!?。！？]' END AS incomplete
   FROM joined
 )
-SELECT DISTINCT row_id, source, incomplete OR broken AS cut, IF(n3 >= {LEAST_3}, n3 - t3, NULL) AS seen_inside, IF(n3 >= {LEAST_3}, t3, NULL) AS seen_terminal, at_limit, marked FROM judged"""
-    )
+SELECT DISTINCT row_id, source, incomplete OR broken AS cut, IF(n3 >= {LEAST_3}, n3 - t3, NULL) AS seen_inside, IF(n3 >= {LEAST_3}, t3, NULL) AS seen_terminal, at_limit, marked FROM judged
+"""
+
+
+def _query(spark: SparkSession, statement: str, **tables: DataFrame) -> DataFrame:
+    """A statement over tables named in braces."""
+    views = {name: f"{name}_{uuid.uuid4().hex}" for name in tables}
+    for name, view in views.items():
+        tables[name].createOrReplaceTempView(view)
+        statement = statement.replace("{" + name + "}", view)
+    try:
+        return spark.sql(statement)
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def judge_ends(texts: DataFrame, row: str, text: str, source: str) -> DataFrame:
@@ -125,12 +143,11 @@ def judge_ends(texts: DataFrame, row: str, text: str, source: str) -> DataFrame:
     of one text count once as an end.  A null source has no field limit.  Other columns are ignored;
     repeated rows give one.
     """
-    view = f"texts_{uuid.uuid4().hex}"
-    texts.selectExpr(f"`{row}` AS row_no", f"`{text}` AS body_text", f"`{source}` AS source_name").createOrReplaceTempView(view)
-    try:
-        return texts.sparkSession.sql(statement("row_no", "body_text", "source_name").replace("{docs}", view))
-    finally:
-        texts.sparkSession.catalog.dropTempView(view)
+    spark = texts.sparkSession
+    named = texts.selectExpr(f"`{row}` AS row_no", f"`{text}` AS body_text", f"`{source}` AS source_name")
+    inside = materialise(_query(spark, _INSIDE, texts=named), "trigrams")
+    last = materialise(_query(spark, _LAST, texts=named), "ends")
+    return _query(spark, _JUDGED, inside=inside, last=last)
 
 
 def truncation_rates(judged: DataFrame) -> DataFrame:
