@@ -12,12 +12,21 @@ from quarryweave.llm.grouping import consolidate
 from quarryweave.llm.near_duplicates import all_pairs, near_duplicates
 from quarryweave.llm.neighbours import most_similar
 from quarryweave.llm.packing import pack
+from quarryweave.llm.scan_noise import find_noise, paragraphs
 from quarryweave.llm.splitting import split_oversized
 from quarryweave.llm.survivors import surviving_values
 from quarryweave.llm.truncation import judge_ends, truncation_rates
 from quarryweave.plans import materialise, read_table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_noise(read_table(spark, folder, "mineru_blocks"))["noise"].withColumnRenamed("row", "block_no")
+
+
+def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs(read_table(spark, folder, "mineru_blocks")).withColumnRenamed("task", "task_id")
+
+
 def p3_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return split_oversized(read_table(spark, folder, "textbook_sources"), "scan_no", "text", "source_family", read_table(spark, folder, "size_limits").filter("unit = 'bytes'"))
 
@@ -108,4 +117,4 @@ def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
     return truncation_rates(judge_ends(read_table(spark, folder, "documents"), "doc_id", "text", "source"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p4_found, p4_survivors, p5_found, p6_found, p6_neighbours, p7_found, p7_groups, p8_ids, p9_containers, p10_found, p10_rates)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_paragraphs, p3_found, p3_pieces, p4_found, p4_survivors, p5_found, p6_found, p6_neighbours, p7_found, p7_groups, p8_ids, p9_containers, p10_found, p10_rates)}

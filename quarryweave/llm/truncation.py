@@ -112,6 +112,7 @@ WITH inside3 AS (SELECT h3, sum(ends) AS ends, sum(n) AS n FROM {{inside}} GROUP
   SELECT *, CASE
     WHEN in_table THEN row_open
     WHEN closed >= {LEAST_CLOSED} AND closed >= 0.8 * opened THEN false
+    WHEN final_token RLIKE r'^[.!?。！？]$' THEN n2 >= {LEAST_BEFORE} AND t2 < n2 * {SHARE}
     WHEN n3 >= {LEAST_3} THEN t3 < n3 * IF(marked OR at_limit, {MARKED_SHARE}, {SHARE})
     WHEN n2 >= {LEAST_2} THEN t2 < n2 * IF(marked OR at_limit, {MARKED_SHARE}, {SHARE})
     WHEN n2 = 0 AND n0 >= {LEAST_BEFORE} AND final_token RLIKE r'[\p{{L}}#]' THEN true
