@@ -38,10 +38,10 @@ def orphan_references(children: DataFrame, parents: DataFrame) -> DataFrame:
     """
     refs = children.filter("ref_key is not null")
     counted = refs.groupBy("parent_table", "ref_key").agg(F.count("*").alias("n"))
-    total = counted.agg(F.sum("n").alias("total"))
+    total = refs.agg(F.count("*").alias("total")).scalar()
     # at most HOT_SHARE rows, as their shares add up to one
-    hot = counted.crossJoin(F.broadcast(total)).filter(F.col("n") * HOT_SHARE > F.greatest("total", F.lit(100 * HOT_SHARE)))
-    hot = hot.select("parent_table", normal_name_udf("ref_key").alias("key"), F.ceil(F.col("n") * HOT_SHARE / F.col("total")).cast("int").alias("parts"))
+    hot = counted.filter(F.col("n") * HOT_SHARE > F.greatest(total, F.lit(100 * HOT_SHARE)))
+    hot = hot.select("parent_table", normal_name_udf("ref_key").alias("key"), F.ceil(F.col("n") * HOT_SHARE / total).cast("int").alias("parts"))
     hot = F.broadcast(hot.groupBy("parent_table", "key").agg(F.max("parts").alias("parts")))
 
     rows = long_form(children, parents.select("parent_table", "key", "born", "died").distinct()).join(hot, ["parent_table", "key"], "left")
