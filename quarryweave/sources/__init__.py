@@ -1 +1,6 @@
+"""Readers of manifests and writers of portable artifacts."""
 
+from quarryweave.sources.artifacts import write_edge_pairs, write_jsonl, write_vectors
+from quarryweave.sources.manifests import read_csv_manifest, read_jsonl_manifest
+
+__all__ = ["read_csv_manifest", "read_jsonl_manifest", "write_edge_pairs", "write_jsonl", "write_vectors"]
