@@ -29,4 +29,31 @@ def p2_counts(spark: SparkSession, folder: str) -> DataFrame:
     return orphan_counts(orphan_references(*_children_and_parents(spark, folder)))
 
 
+_WIDE = "".join(chr(0xFF01 + i) for i in range(94))
+_NARROW = "".join(chr(0x21 + i) for i in range(94)).replace("'", "''")
+
+
+def _normal(c: str) -> str:
+    """SQL of a normal name for what the tables hold: wide forms, white space, straight quotes."""
+    plain = f"trim(regexp_replace(translate({c}, '{_WIDE}', '{_NARROW}'), '[\\s\u3000]+', ' ', 'g'))"
+    return f"(SELECT lower(CASE WHEN length(k) > 1 AND left(k, 1) IN ('\"', '\'\'') AND left(k, 1) = right(k, 1) THEN trim(substr(k, 2, length(k) - 2)) ELSE k END) FROM (SELECT {plain} AS k))"
+
+
+_REFS = f"""WITH raw AS (
+  SELECT 'custom_kg_relationships' AS ref_table, 'src_id' AS ref_field, rel_no AS ref_row, src_id AS ref_key, 'name' AS parent, created_at AS made_at FROM custom_kg_relationships
+  UNION ALL SELECT 'custom_kg_relationships', 'tgt_id', rel_no, tgt_id, 'name', created_at FROM custom_kg_relationships
+  UNION ALL SELECT 'evidence_fragments', 'supported_entity_ids', fragment_no, unnest(supported_entity_ids), 'id', created_at FROM evidence_fragments
+), refs AS (SELECT DISTINCT *, {_normal("ref_key")} AS key FROM raw WHERE ref_key IS NOT NULL
+), ents AS (SELECT 'name' AS parent, {_normal("entity_name")} AS key, created_at, deleted_at FROM custom_kg_entities WHERE entity_name IS NOT NULL
+  UNION ALL SELECT 'id', {_normal("entity_id")}, created_at, deleted_at FROM custom_kg_entities WHERE entity_id IS NOT NULL
+), judged AS (
+  SELECT ref_table, ref_field, ref_row, ref_key, made_at, count(e.key) AS parents, count(*) FILTER (e.created_at <= made_at) AS born, count(*) FILTER (e.created_at <= made_at AND (e.deleted_at IS NULL OR made_at < e.deleted_at)) AS live
+  FROM refs LEFT JOIN ents e ON e.parent = refs.parent AND e.key = refs.key GROUP BY ALL
+), orphans AS (SELECT *, CASE WHEN parents = 0 THEN 'missing' WHEN born = 0 THEN 'late' ELSE 'deleted' END AS reason FROM judged WHERE live = 0)
+"""
+
+ORACLE_SQL = {
+    "p2_found": _REFS + "SELECT ref_table, ref_field, ref_row, ref_key, reason FROM orphans",
+    "p2_counts": _REFS + "SELECT ref_table, ref_field, strftime(made_at, '%Y-%m') AS month, reason, count(*) AS orphans FROM orphans GROUP BY 1, 2, 3, 4",
+}
 QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts}
