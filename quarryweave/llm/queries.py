@@ -11,6 +11,7 @@ from quarryweave.llm.encoding import encode_corpus, token_counts
 from quarryweave.llm.grouping import consolidate
 from quarryweave.llm.near_duplicates import all_pairs, near_duplicates
 from quarryweave.llm.neighbours import most_similar
+from quarryweave.llm.oracle import ORACLE_SQL  # noqa: F401
 from quarryweave.llm.packing import pack
 from quarryweave.llm.scan_noise import find_noise, paragraphs
 from quarryweave.llm.splitting import split_oversized
