@@ -1,8 +1,8 @@
 """One surviving record for each group of duplicate records, by Pareto dominance.
 
 A record dominates another when it has every field the other has, is at least as trusted and at
-least as recent, and is better in one of the three.  The undominated records are the first layer;
-taking them away bares the next.  Each field takes its value from the first layer that has it, there
+least as recent, and more of one of these two (records alike in both are told apart by their numbers,
+field by field).  The undominated records are the first layer; taking them away bares the next.  Each field takes its value from the first layer that has it, there
 from the most trusted, then the most recent record.
 
 Before anything is gathered, each group is reduced to the best record for every set of present
@@ -23,7 +23,7 @@ UNRANKED = 2_000_000_000
 def _dominates(q: Column, r: Column) -> Column:
     covers = q["mask"].bitwiseAND(r["mask"]) == r["mask"]
     no_worse = (q["trust"] <= r["trust"]) & (q["seen"] >= r["seen"])
-    better = (q["mask"] != r["mask"]) | (q["trust"] < r["trust"]) | (q["seen"] > r["seen"])
+    better = (q["trust"] < r["trust"]) | (q["seen"] > r["seen"])
     return covers & no_worse & better
 
 
