@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 from quarryweave.plans import materialise
 
-#: Vectors of one graph, queries searched together, sample the centres are fitted on.
-SHARD_ROWS, QUERY_ROWS, CENTRE_SAMPLE = 8_000, 8_000, 16_384
+#: Vectors a centre stands for, vectors one graph holds at most, queries searched together.
+SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 2_000, 16_000, 8_000
+#: Sample the centres are fitted on, and how many there are at most; beyond that shards grow and are split.
+CENTRE_SAMPLE, MOST_CENTRES = 16_384, 2_048
 #: Links of a vertex above the ground level (twice as many there), breadth of search when building and asking.
 LINKS, BUILD_BREADTH, SEARCH_BREADTH = 12, 48, 48
 #: Shards a query searches: those of its nearest centres.
@@ -264,7 +266,7 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     if total == 0:
         return spark.createDataFrame([], "idx long, neighbour long, cosine double, rank int")
 
-    count = max(1, math.ceil(total / shard_rows))
+    count = min(MOST_CENTRES, max(1, math.ceil(total / shard_rows)))
     sample = distinct.orderBy("key", "idx").limit(CENTRE_SAMPLE).select("vec").toPandas()["vec"]  # CENTRE_SAMPLE rows
     centres = spark.sparkContext.broadcast(fit_centres(_units(sample).astype(np.float32), min(count, len(sample))))
     asked = min(probes, count)
@@ -279,8 +281,8 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     dealt = materialise(distinct.mapInPandas(assign, "idx long, vec array<float>, key long, near array<int>"), "dealt")
     sizes = dealt.groupBy(F.col("near")[0].alias("centre")).agg(F.count("*").alias("rows"))
     asks = dealt.select(F.explode("near").alias("centre")).groupBy("centre").agg(F.count("*").alias("queries"))
-    # one row for each centre, total / shard_rows of them
-    shards = materialise(asks.join(sizes, "centre", "left").select("centre", F.ceil(F.coalesce("rows", F.lit(0)) / shard_rows).cast("int").alias("salts"), F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("blocks")), "shards")
+    # one row for each centre, MOST_CENTRES at most
+    shards = materialise(asks.join(sizes, "centre", "left").select("centre", F.ceil(F.coalesce("rows", F.lit(0)) / GRAPH_ROWS).cast("int").alias("salts"), F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("blocks")), "shards")
 
     members = dealt.select("idx", "vec", "key", F.col("near")[0].alias("centre")).join(shards, "centre").withColumn("salt", F.pmod("key", F.col("salts")).cast("int"))
 
