@@ -30,6 +30,8 @@ from quarryweave.plans import materialise
 
 #: Minima of one list, lists, minima a family agrees in.
 ROWS, BANDS, FAMILY_ROWS = 4, 56, 24
+#: Elements of sets a worker gathers before it passes them on.
+HELD = 500_000
 #: Standard errors of the similarity by minima that a candidate may lie below the threshold.
 MARGIN = 4.0
 
@@ -71,17 +73,22 @@ def minima(shingles: np.ndarray, count: int) -> np.ndarray:
 
 
 def _sketches(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    columns = ["row", "digest", "size", "sketch", "shingles"]
     for batch in batches:
-        rows = []
+        rows, held = [], 0
         for row, text in zip(batch["row"], batch["text"], strict=True):
             body = letters(text)
             if not body:
                 continue
             digest = hashlib.sha256(body.encode("utf-8", "surrogatepass")).digest()[:16]
             shingles = shingle_set(body, length)
-            sketch = minima(shingles, ROWS * BANDS) if len(shingles) else None
-            rows.append((row, digest, len(shingles), None if sketch is None else sketch.astype(np.int64).astype("int64").tolist(), shingles.astype(np.int64).tolist()))
-        yield pd.DataFrame(rows, columns=["row", "digest", "size", "sketch", "shingles"])
+            sketch = minima(shingles, ROWS * BANDS).astype(np.int64) if len(shingles) else None
+            rows.append((row, digest, len(shingles), sketch, shingles.astype(np.int64)))
+            held += len(shingles)
+            if held > HELD:  # sets of one batch are let go as they fill up
+                yield pd.DataFrame(rows, columns=columns)
+                rows, held = [], 0
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def near_duplicates(texts: DataFrame, row: str, text: str, length: int = 12, threshold: float = 0.6) -> tuple[DataFrame, DataFrame]:
