@@ -57,11 +57,10 @@ def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
         heard = known.join(label.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("heard"))
         step = label.join(heard, "node", "left").select("node", F.col("component").alias("old"), F.least("component", F.coalesce("heard", "component")).alias("component"))
         step = materialise(step, "labels")
+        if step.filter("old <> component").isEmpty():
+            return step.select("node", "component")
         jump = step.select(F.col("node").alias("component"), F.col("component").alias("jumped"))
-        jumped = materialise(step.join(jump, "component", "left").select("node", "old", F.coalesce("jumped", "component").alias("component")), "labels")
-        label = jumped.select("node", "component")
-        if jumped.filter("old <> component").isEmpty():
-            return label
+        label = step.join(jump, "component", "left").select("node", F.coalesce("jumped", "component").alias("component"))
 
 
 def pagerank(nodes: DataFrame, pairs: DataFrame, rounds: int = 15, damping: float = 0.85) -> DataFrame:
