@@ -8,6 +8,7 @@ one machine) a temporary folder of this process is set in its place.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,7 @@ def shared_folder(spark: SparkSession) -> str:
     if named:
         return named.rstrip("/")
     master = spark.sparkContext.master
-    if not master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", master):
         raise ValueError(f"set {_FOLDER_KEY} to a folder that every executor can reach")
     folder = f"file://{tempfile.mkdtemp(prefix='quarryweave-')}"
     spark.conf.set(_FOLDER_KEY, folder)
