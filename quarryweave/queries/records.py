@@ -289,6 +289,7 @@ ORACLE_SQL = {
     "vector_audit": "SELECT kind, count(*) AS rows, count(DISTINCT vector_index) AS indexes, min(vector_index) AS first, max(vector_index) AS last, count(DISTINCT content_sha256) AS contents, count(*) FILTER (embedding IS NULL) AS without_vector, count(*) FILTER (len(embedding) <> 64) AS wrong_size FROM vectors GROUP BY 1",
     "embedding_text": r"SELECT entity_no, sha256(t) AS text_sha256, CAST(length(t) AS INT) AS n_chars FROM (SELECT entity_no, regexp_replace(concat_ws(chr(10), entity_name, description), '[\x00-\x08\x0b\x0c\x0e-\x1f]', ' ', 'g') AS t FROM custom_kg_entities)",
     "sentence_counts": r"SELECT doc_id, CAST(len(list_filter(regexp_extract_all(coalesce(text, ''), '[^.!?;。！？；]*[.!?;。！？；]|[^.!?;。！？；]+$'), lambda x: trim(x) <> '')) AS BIGINT) AS units FROM documents",
+    "token_counts_by_language": r"SELECT upper(lang) AS lang, count(*) AS documents, CAST(sum(len(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) + 2 * len(regexp_extract_all(coalesce(text, ''), '[\x{4E00}-\x{9FFF}]')) - len(regexp_extract_all(coalesce(text, ''), '[\x{4E00}-\x{9FFF}]+'))) AS BIGINT) AS tokens FROM documents GROUP BY 1",
     "evidence_scores": f"SELECT block_no, confidence FROM ({_BLOCKS})",
     "evidence_retained": f"WITH o AS (SELECT source_id, block_no, block_index, confidence FROM ({_BLOCKS}) WHERE confidence >= 0.6 QUALIFY row_number() OVER (PARTITION BY source_id, sha256(text) ORDER BY confidence DESC, block_index, block_no) = 1) SELECT source_id, block_no, CAST(row_number() OVER (PARTITION BY source_id ORDER BY confidence DESC, block_index, block_no) AS INT) AS rank FROM o QUALIFY rank <= 8",
     "section_forward": "SELECT block_no, last_value(CASE WHEN block_type = 'title' THEN text END IGNORE NULLS) OVER (PARTITION BY task_id ORDER BY page, block_index, block_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS title FROM mineru_blocks",
