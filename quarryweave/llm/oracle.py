@@ -33,6 +33,7 @@ _UNITS = "u AS (SELECT vector_index AS i, CAST(embedding AS DOUBLE[]) AS v FROM
 ORACLE_SQL = {
     "p3_found": "SELECT DISTINCT scan_no FROM textbook_sources JOIN size_limits ON limit_name = source_family AND unit = 'bytes' WHERE octet_length(encode(text)) > max_size",
     "p4_found": _GROUPS,
+    "p4_survivors": f"WITH kept AS ({_GROUPS}) SELECT group_no, max(CASE WHEN field_name = 'normalized_doi' THEN {_doi('normalized_doi')} END) AS normalized_doi, max(CASE WHEN field_name = 'byte_size' THEN byte_size END) AS byte_size, max(CASE WHEN field_name = 'legal_status' THEN legal_status END) AS legal_status FROM kept JOIN source_catalog USING (record_no) GROUP BY 1",
     "p5_found": f"WITH RECURSIVE e AS (SELECT {_uuid('source_id')} AS a, {_uuid('target_source_id')} AS b FROM source_relations), b2 AS (SELECT a, b FROM e WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM e WHERE a IS NOT NULL AND b IS NOT NULL), ids AS (SELECT a AS id FROM e WHERE a IS NOT NULL UNION SELECT b FROM e WHERE b IS NOT NULL), reach(id, seen) AS (SELECT id, id FROM ids UNION SELECT reach.id, b2.b FROM reach JOIN b2 ON b2.a = reach.seen) SELECT id AS source_id, min(seen) AS group_id FROM reach GROUP BY 1",
     "p6_found": f"WITH {_UNITS} SELECT DISTINCT least(i, j) AS index_a, greatest(i, j) AS index_b FROM near WHERE cosine >= 0.9",
     "p7_found": r"WITH t AS (SELECT scan_no, regexp_replace(lower(text), '[\s\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{0085}]+', '', 'g') AS x FROM textbook_sources WHERE text IS NOT NULL), sh AS (SELECT DISTINCT scan_no, substr(x, CAST(p AS INT), 12) AS g FROM t, unnest(range(1, length(x) - 10)) r(p) WHERE length(x) >= 12), n AS (SELECT scan_no, count(*) AS n FROM sh GROUP BY 1), p AS (SELECT a.scan_no AS scan_a, b.scan_no AS scan_b, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.scan_no < b.scan_no GROUP BY 1, 2) SELECT scan_a, scan_b FROM p JOIN n na ON na.scan_no = scan_a JOIN n nb ON nb.scan_no = scan_b WHERE c >= 0.6 * (na.n + nb.n - c)",
