@@ -49,18 +49,32 @@ def audit(nodes: DataFrame, edges: DataFrame, left: str, right: str) -> DataFram
 
 
 def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``(node, component)``: the smallest node each node is linked with, by smallest labels and pointer jumps."""
-    known = both_ways(pairs).select("node", "other").distinct()
-    known = materialise(known, "links")
-    label = materialise(nodes.select("node").unionByName(known.select("node")).distinct().withColumn("component", F.col("node")), "labels")
-    while True:
-        heard = known.join(label.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("heard"))
-        step = label.join(heard, "node", "left").select("node", F.col("component").alias("old"), F.least("component", F.coalesce("heard", "component")).alias("component"))
-        step = materialise(step, "labels")
-        if step.filter("old <> component").isEmpty():
-            return step.select("node", "component")
-        jump = step.select(F.col("node").alias("component"), F.col("component").alias("jumped"))
-        label = step.join(jump, "component", "left").select("node", F.coalesce("jumped", "component").alias("component"))
+    """``(node, component)``: the smallest node each node is linked with.
+
+    Each round every node goes over to its smallest neighbour's parent, and the links are drawn between
+    the parents; they are fewer each time.  A component's smallest node never moves, so it is what is
+    left.  The steps are then followed backwards.
+    """
+    links = materialise(both_ways(pairs).select("node", "other").distinct(), "links")
+    every = nodes.select("node").unionByName(links.select("node")).distinct()
+    steps: list[DataFrame] = []
+    while not links.isEmpty():
+        low = links.groupBy("node").agg(F.min("other").alias("near")).select("node", F.least("node", "near").alias("parent"))
+        above = low.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
+        step = materialise(low.join(above, "parent").select("node", F.col("above").alias("parent")), "parents")
+        steps.append(step)
+        drawn = links.join(step, "node").select(F.col("parent").alias("a"), F.col("other").alias("node")).join(step, "node").select(F.col("a").alias("node"), F.col("parent").alias("other"))
+        links = materialise(drawn.filter("node <> other").distinct(), "links")
+    resolved: DataFrame | None = None
+    for step in reversed(steps):
+        if resolved is None:
+            resolved = step.select("node", F.col("parent").alias("component"))
+        else:
+            known = resolved.select(F.col("node").alias("parent"), F.col("component").alias("root"))
+            resolved = step.join(known, "parent", "left").select("node", F.coalesce("root", "parent").alias("component"))
+    if resolved is None:
+        return every.select("node", F.col("node").alias("component"))
+    return every.join(resolved, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def pagerank(nodes: DataFrame, pairs: DataFrame, rounds: int = 15, damping: float = 0.85) -> DataFrame:
