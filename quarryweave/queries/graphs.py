@@ -1,4 +1,4 @@
-"""Graph queries over customers and parts that large order lines link, and over the entity tables."""
+"""Graph queries over customers and parts that order lines link: all lines, or only the large ones the first SQL is about."""
 
 from __future__ import annotations
 
@@ -11,8 +11,10 @@ from quarryweave.plans import materialise, read_table
 LARGE_LINE = 50
 
 
-def _edges(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem").filter(F.col("l_quantity") >= LARGE_LINE).select("l_orderkey", "l_partkey", F.col("l_quantity").cast("long").alias("quantity"))
+def _edges(spark: SparkSession, folder: str, least: int | None) -> DataFrame:
+    """One row for each order line, or each of at least some quantity."""
+    lines = read_table(spark, folder, "lineitem")
+    lines = (lines if least is None else lines.filter(F.col("l_quantity") >= least)).select("l_orderkey", "l_partkey", F.col("l_quantity").cast("long").alias("quantity"))
     orders = read_table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     return lines.join(orders, "l_orderkey").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("l"), F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("r"), "quantity")
 
@@ -23,44 +25,44 @@ def _nodes(spark: SparkSession, folder: str) -> DataFrame:
     return customers.unionByName(parts)
 
 
-def _pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return materialise(G.undirected(_edges(spark, folder), "l", "r"), "pairs")
+def _pairs(spark: SparkSession, folder: str, least: int | None) -> DataFrame:
+    return materialise(G.undirected(_edges(spark, folder, least), "l", "r"), "pairs")
 
 
-def graph_audit(spark, folder):
-    return G.audit(_nodes(spark, folder), materialise(_edges(spark, folder), "edges"), "l", "r")
+def graph_audit(spark, folder, least=LARGE_LINE):
+    return G.audit(_nodes(spark, folder), materialise(_edges(spark, folder, least), "edges"), "l", "r")
 
 
-def graph_degree_percentiles(spark, folder):
-    deg = G.degrees(_nodes(spark, folder), materialise(_edges(spark, folder), "edges"), "l", "r")
+def graph_degree_percentiles(spark, folder, least=LARGE_LINE):
+    deg = G.degrees(_nodes(spark, folder), materialise(_edges(spark, folder, least), "edges"), "l", "r")
     return deg.agg(*(F.expr(f"percentile(degree, {p})").alias(n) for p, n in ((0.5, "p50"), (0.9, "p90"), (0.99, "p99"), (0.999, "p999"))))
 
 
-def graph_top_hubs(spark, folder):
-    deg = G.degrees(_nodes(spark, folder), materialise(_edges(spark, folder), "edges"), "l", "r")
+def graph_top_hubs(spark, folder, least=LARGE_LINE):
+    deg = G.degrees(_nodes(spark, folder), materialise(_edges(spark, folder, least), "edges"), "l", "r")
     return deg.join(_nodes(spark, folder).select("node", "name"), "node").orderBy(F.desc("degree"), "name", "node").limit(20)
 
 
-def graph_taxonomy(spark, folder):
+def graph_taxonomy(spark, folder, least=LARGE_LINE):
     nodes = _nodes(spark, folder).select("node", "kind")
-    rows = _edges(spark, folder).join(nodes.withColumnRenamed("node", "l").withColumnRenamed("kind", "source_kind"), "l", "left").join(nodes.withColumnRenamed("node", "r").withColumnRenamed("kind", "target_kind"), "r", "left")
+    rows = _edges(spark, folder, least).join(nodes.withColumnRenamed("node", "l").withColumnRenamed("kind", "source_kind"), "l", "left").join(nodes.withColumnRenamed("node", "r").withColumnRenamed("kind", "target_kind"), "r", "left")
     counts = rows.groupBy(F.coalesce("source_kind", F.lit("missing")).alias("source_kind"), F.coalesce("target_kind", F.lit("missing")).alias("target_kind")).agg(F.count("*").alias("edges"))
     total = counts.agg(F.sum("edges")).scalar()
     return counts.withColumn("frequency", F.round(F.col("edges") / total, 6))
 
 
-def graph_components(spark, folder):
-    return G.components(_nodes(spark, folder), _pairs(spark, folder))
+def graph_components(spark, folder, least=LARGE_LINE):
+    return G.components(_nodes(spark, folder), _pairs(spark, folder, least))
 
 
-def graph_component_sizes(spark, folder):
-    sizes = graph_components(spark, folder).groupBy("component").agg(F.count("*").alias("size"))
+def graph_component_sizes(spark, folder, least=LARGE_LINE):
+    sizes = graph_components(spark, folder, least).groupBy("component").agg(F.count("*").alias("size"))
     return sizes.groupBy("size").agg(F.count("*").alias("components"))
 
 
-def graph_satellites(spark, folder):
+def graph_satellites(spark, folder, least=LARGE_LINE):
     """Components outside the largest, by the kind that most of their nodes have: how many, how many nodes."""
-    of = graph_components(spark, folder).join(_nodes(spark, folder).select("node", "kind"), "node", "left")
+    of = graph_components(spark, folder, least).join(_nodes(spark, folder).select("node", "kind"), "node", "left")
     kinds = of.groupBy("component", "kind").agg(F.count("*").alias("n"))
     best = kinds.groupBy("component").agg(F.min(F.struct((-F.col("n")).alias("n"), "kind")).alias("b"), F.sum("n").alias("size"))
     largest = best.orderBy(F.desc("size"), "component").limit(1).select("component")
@@ -68,25 +70,25 @@ def graph_satellites(spark, folder):
     return rest.groupBy(F.col("b.kind").alias("kind")).agg(F.count("*").alias("components"), F.sum("size").alias("nodes"))
 
 
-def graph_pagerank(spark, folder):
-    return G.pagerank(_nodes(spark, folder), _pairs(spark, folder), rounds=10).select("node", F.round("rank", 7).alias("rank"))
+def graph_pagerank(spark, folder, least=LARGE_LINE):
+    return G.pagerank(_nodes(spark, folder), _pairs(spark, folder, least), rounds=10).select("node", F.round("rank", 7).alias("rank"))
 
 
-def graph_communities(spark, folder):
-    return G.communities(_nodes(spark, folder), _pairs(spark, folder))
+def graph_communities(spark, folder, least=None):
+    return G.communities(_nodes(spark, folder), _pairs(spark, folder, least))
 
 
-def graph_layout_edges(spark, folder):
-    return G.undirected(_edges(spark, folder), "l", "r", "quantity")
+def graph_layout_edges(spark, folder, least=LARGE_LINE):
+    return G.undirected(_edges(spark, folder, least), "l", "r", "quantity")
 
 
-def graph_damped_degrees(spark, folder):
-    return G.damped_degrees(_pairs(spark, folder), threshold=4).select("node", "degree", F.round("weighted_degree", 6).alias("weighted_degree"))
+def graph_damped_degrees(spark, folder, least=LARGE_LINE, threshold=4):
+    return G.damped_degrees(_pairs(spark, folder, least), threshold=threshold).select("node", "degree", F.round("weighted_degree", 6).alias("weighted_degree"))
 
 
-def graph_rank_scale(spark, folder):
+def graph_rank_scale(spark, folder, least=LARGE_LINE):
     """Weighted degrees on a scale of 0 to 1 between their 5 and 99.5 per cent points."""
-    ends = G.both_ways(graph_layout_edges(spark, folder)).groupBy("node").agg(F.log1p(F.sum("weight")).alias("x"))
+    ends = G.both_ways(graph_layout_edges(spark, folder, least)).groupBy("node").agg(F.log1p(F.sum("weight")).alias("x"))
     ends = materialise(ends, "ends")
     low, high = ends.agg(F.expr("percentile(x, 0.05)")).scalar(), ends.agg(F.expr("percentile(x, 0.995)")).scalar()
     return ends.select("node", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("x") - low) / (high - low))), 5).alias("rank"))
@@ -96,18 +98,18 @@ def _seeds(spark, folder):
     return read_table(spark, folder, "part").filter("p_size = 50").select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("node"))
 
 
-def graph_neighbourhood_1(spark, folder):
-    return G.neighbourhood(_pairs(spark, folder), _seeds(spark, folder), 1)
+def graph_neighbourhood_1(spark, folder, least=LARGE_LINE):
+    return G.neighbourhood(_pairs(spark, folder, least), _seeds(spark, folder), 1)
 
 
-def graph_neighbourhood_2(spark, folder):
-    return G.neighbourhood(_pairs(spark, folder), _seeds(spark, folder), 2)
+def graph_neighbourhood_2(spark, folder, least=LARGE_LINE):
+    return G.neighbourhood(_pairs(spark, folder, least), _seeds(spark, folder), 2)
 
 
-def graph_attachment(spark, folder):
+def graph_attachment(spark, folder, least=LARGE_LINE):
     """Order weight between the customers' nations, the strongest partner of each: cross weight and the winner."""
     of = read_table(spark, folder, "customer").select(F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("l"), F.col("c_nationkey").alias("group_no"))
-    lines = _edges(spark, folder).join(of, "l").groupBy("group_no", "r").agg(F.sum("quantity").alias("w"))
+    lines = _edges(spark, folder, least).join(of, "l").groupBy("group_no", "r").agg(F.sum("quantity").alias("w"))
     cross = lines.join(lines.select(F.col("group_no").alias("other_no"), "r", F.col("w").alias("v")), "r").filter("group_no <> other_no")
     sums = cross.groupBy("group_no", "other_no").agg(F.sum(F.least("w", "v")).alias("weight"))
     best = sums.groupBy("group_no").agg(F.min(F.struct((-F.col("weight")).alias("w"), "other_no")).alias("b"))
@@ -139,3 +141,24 @@ ORACLE_SQL = {
     "graph_attachment": f"WITH {_E}, g AS (SELECT c_nationkey AS group_no, r, sum(quantity) AS w FROM e JOIN customer ON l = 'c' || c_custkey GROUP BY 1, 2), x AS (SELECT g.group_no, h.group_no AS other_no, CAST(sum(least(g.w, h.w)) AS BIGINT) AS weight FROM g JOIN g h ON g.r = h.r AND g.group_no <> h.group_no GROUP BY 1, 2) SELECT group_no, other_no, weight FROM x QUALIFY row_number() OVER (PARTITION BY group_no ORDER BY weight DESC, other_no) = 1",
 }
 QUERIES = {f.__name__: f for f in (graph_audit, graph_degree_percentiles, graph_top_hubs, graph_taxonomy, graph_components, graph_component_sizes, graph_satellites, graph_pagerank, graph_communities, graph_layout_edges, graph_damped_degrees, graph_rank_scale, graph_neighbourhood_1, graph_neighbourhood_2, graph_attachment)}
+
+
+def _over_all_lines(query, **fixed):
+    def run(spark, folder):
+        return query(spark, folder, least=None, **fixed)
+
+    run.__name__ = f"{query.__name__}_all_lines"
+    return run
+
+
+_ALL = "e AS (SELECT 'c' || o_custkey AS l, 'p' || l_partkey AS r, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+#: Reachability from every node is too slow for SQL where nearly all nodes are in one component.
+_NO_SQL = ("graph_components", "graph_component_sizes", "graph_satellites")
+#: Links over which a node is a hub among all lines.
+HUB = 120
+
+for _name in [n for n in QUERIES if n in ORACLE_SQL]:
+    _query = _over_all_lines(QUERIES[_name], **({"threshold": HUB} if _name == "graph_damped_degrees" else {}))
+    QUERIES[_query.__name__] = _query
+    if _name not in _NO_SQL:
+        ORACLE_SQL[_query.__name__] = ORACLE_SQL[_name].replace(_E, _ALL).replace("> 4 THEN pow(4.0 /", f"> {HUB} THEN pow({HUB}.0 /")
