@@ -13,7 +13,8 @@ texts of one trade are made of the same phrases, and their prefixes still reach
   list, not once for each set; the candidates of a member are those computed for its family, and only
   lists in which it differs from the others add to them.
 
-Lists carry a byte of each of 32 further minima, which drops most chance meetings where they happen.
+Lists carry a byte of each of 32 further minima of a set that is alone in its family, which drops most
+chance meetings of such sets where they happen; what a larger family meets is never dropped there.
 Candidates are then compared by all their minima, and at last exactly.
 """
 
@@ -31,8 +32,8 @@ from quarryweave.plans import materialise
 
 #: Minima of one list, lists, minima a family agrees in.
 ROWS, BANDS, FAMILY_ROWS = 4, 56, 24
-#: Bytes of minima that a list carries for each family, and how many must agree for two families to be candidates:
-#: about 19 do at the threshold, 3 in texts that share a tenth; at 7 a pair is lost once in 100,000.
+#: Bytes of minima that a list carries for each set alone in its family, and how many must agree for two such sets to be
+#: candidates: about 19 do at the threshold, 3 in texts that share a tenth; at 7 a pair is lost once in 100,000.
 CARRIED, CARRIED_AGREE = 32, 7
 #: Standard errors of the similarity by minima that a candidate may lie below the threshold.
 MARGIN = 4.0
@@ -124,8 +125,8 @@ def near_duplicates(texts: DataFrame, row: str, text: str, length: int = 12, thr
     # families, and the block of a set by its size
     base = sets.filter("size > 0").select("row", "size", "sketch").withColumn("family_key", F.xxhash64(F.slice("sketch", 1, FAMILY_ROWS)))
     low_bytes = F.transform(F.slice("sketch", FAMILY_ROWS + 1, CARRIED), lambda x: (x.bitwiseAND(F.lit(255)) - 128).cast("byte"))
-    of_family = F.min(F.struct("row", low_bytes.alias("bytes"))).over(Window.partitionBy("family_key"))
-    base = base.withColumn("first", of_family).withColumn("family", F.col("first.row")).withColumn("carried", F.col("first.bytes")).drop("family_key", "first")
+    of_family = Window.partitionBy("family_key")
+    base = base.withColumn("family", F.min("row").over(of_family)).withColumn("carried", F.when(F.count("*").over(of_family) == 1, low_bytes)).drop("family_key")
     base = base.withColumn("step", F.floor(F.log(F.col("size").cast("double")) / F.lit(-np.log(threshold))).cast("int"))
     base = materialise(base, "sets")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.slice("sketch", b * ROWS + 1, F.lit(ROWS))))
@@ -134,7 +135,7 @@ def near_duplicates(texts: DataFrame, row: str, text: str, length: int = 12, thr
     probe = lists.select("list", F.col("family").alias("fa"), F.col("step").alias("sa"), F.col("carried").alias("ca"), F.explode(F.array(F.col("step"), F.col("step") + 1)).alias("sb"))
     entry = lists.select("list", F.col("family").alias("fb"), F.col("step").alias("sb"), F.col("carried").alias("cb"))
     alike = F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x) >= CARRIED_AGREE
-    met = probe.join(entry, ["list", "sb"]).filter("sa < sb or fa <= fb").filter(alike).select("fa", "sa", "fb", "sb").distinct()
+    met = probe.join(entry, ["list", "sb"]).filter("sa < sb or fa <= fb").filter(F.coalesce(alike, F.lit(True))).select("fa", "sa", "fb", "sb").distinct()
     met = materialise(met, "met")
 
     left = base.select(F.col("family").alias("fa"), F.col("step").alias("sa"), F.col("row").alias("ra"), F.col("size").alias("na"), F.col("sketch").alias("ka"))
