@@ -96,17 +96,33 @@ def pagerank(nodes: DataFrame, pairs: DataFrame, rounds: int = 15, damping: floa
     return rank
 
 
-def communities(nodes: DataFrame, pairs: DataFrame, rounds: int = 6) -> DataFrame:
-    """``(node, community)`` by weighted label propagation: the heaviest label around, of equal ones the smallest; own label counts half a link."""
+def communities(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``(node, community)`` by weighted label propagation: the heaviest label around, of equal ones the smallest; own label counts half a link.
+
+    Rounds go on until no node would change.  Of two linked nodes whose changes undo each other (each goes
+    where the other leaves, as between the sides of a bipartite graph) only the one with the smaller hash of
+    node and round changes.  So the weight of links inside communities rises by more than half a link with
+    every change, and the rounds come to an end.  Weights are whole numbers of links.
+    """
     links = materialise(both_ways(pairs), "links")
     label = materialise(nodes.select("node").distinct().withColumn("community", F.col("node")), "labels")
-    for _ in range(rounds):
+    turn = 0
+    while True:
         votes = links.join(label.withColumnRenamed("node", "other"), "other").groupBy("node", "community").agg(F.sum("weight").alias("votes"))
         own = label.withColumn("votes", F.lit(0.5))
         ranked = votes.select("node", "community", F.col("votes").cast("double")).unionByName(own).groupBy("node", "community").agg(F.sum("votes").alias("votes"))
-        best = ranked.groupBy("node").agg(F.max("votes").alias("votes")).join(ranked, ["node", "votes"]).groupBy("node").agg(F.min("community").alias("community"))
-        label = materialise(best, "labels")
-    return label
+        best = ranked.groupBy("node").agg(F.min(F.struct((-F.col("votes")).alias("n"), "community")).alias("b")).select("node", F.col("b.community").alias("wish"))
+        wishes = label.join(best, "node").filter("community <> wish").withColumn("turn", F.xxhash64("node", F.lit(turn)))
+        wishes = materialise(wishes, "wishes")
+        if wishes.isEmpty():
+            return label
+        one = wishes.select("node", F.struct("turn", "node").alias("t"), F.col("community").alias("c"), F.col("wish").alias("w"))
+        two = wishes.select(F.col("node").alias("other"), F.struct("turn", F.col("node").alias("node")).alias("ot"), F.col("community").alias("oc"), F.col("wish").alias("ow"))
+        is_ = lambda a, b: (F.col(a) == F.col(b)).cast("int")
+        undone = links.join(one, "node").join(two, "other").filter((is_("w", "oc") + is_("ow", "c") > is_("w", "ow") + is_("c", "oc")) & (F.col("t") > F.col("ot")))
+        moved = wishes.join(undone.select("node").distinct(), "node", "left_anti").select("node", "wish")
+        label = materialise(label.join(moved, "node", "left").select("node", F.coalesce("wish", "community").alias("community")), "labels")
+        turn += 1
 
 
 def neighbourhood(pairs: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
