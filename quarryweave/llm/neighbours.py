@@ -6,6 +6,8 @@ Each shard's graph is built in blocks: a block searches the graph so far and its
 choice of what it finds and links back.  The graph is stored as flat arrays (vectors, neighbour
 places, level sizes), one row for each shard, in the shared folder.  Every vector then searches the
 graphs of the centres nearest to it, in blocks of queries, and the answers of the shards are merged.
+Where there are more centres than that, the k-th of these answers is a bound: every vector is compared
+with all others over a grid of blocks, and what is nearer than its bound is merged too.
 
 Exact copies are one vertex of the graph and come back as neighbours of each other.
 """
@@ -30,6 +32,8 @@ CENTRE_SAMPLE, MOST_CENTRES = 16_384, 2_048
 LINKS, BUILD_BREADTH, SEARCH_BREADTH = 12, 48, 48
 #: Shards a query searches: those of its nearest centres.
 PROBES = 5
+#: Queries and vectors of one cell of the grid that finds what the probes missed.
+CELL_QUERIES, CELL_ROWS = 16_000, 64_000
 
 
 def _search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, starts: np.ndarray, breadth: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -317,8 +321,35 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
 
     answers = questions.select("idx", "vec", "centre", "salt", "block").groupBy("centre", "salt", "block").cogroup(spread.groupBy("centre", "salt", "block")).applyInPandas(ask, "idx long, rep long, cosine double")
     # of each shard at most k + 1 rows a vector: its probes times the salts bound what is gathered
-    best = answers.groupBy("idx").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("far"), "rep"))), 1, k).alias("near"))
-    best = materialise(best, "answers")
+    nearest = lambda df: df.groupBy("idx").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "rep"))), 1, k).alias("near"))
+    best = materialise(nearest(answers), "answers")
+
+    if asked < count:
+        stripes, parts = math.ceil(total / CELL_QUERIES), math.ceil(total / CELL_ROWS)
+
+        def compare(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
+            if not len(queries) or not len(stored):
+                return pd.DataFrame({"idx": [], "rep": [], "cosine": []})
+            left, right = _units(queries["vec"]), _units(stored["known"])
+            own, names, bound = queries["idx"].to_numpy(), stored["rep"].to_numpy(), queries["bound"].to_numpy()
+            across, out = np.ascontiguousarray(right.astype(np.float32).T), []
+            for a in range(0, len(left), 256):
+                sims = left[a : a + 256].astype(np.float32) @ across
+                # a little below the bound, as it is of double precision
+                r, c = np.nonzero(sims > (bound[a : a + 256, None] - 1e-5).astype(np.float32))
+                value = np.einsum("md,md->m", left[a + r], right[c])
+                keep = (own[a + r] != names[c]) & (value >= bound[a + r])
+                out.append(pd.DataFrame({"idx": own[a + r][keep], "rep": names[c][keep], "cosine": value[keep]}))
+            return pd.concat(out)
+
+        bounds = best.select("idx", F.when(F.size("near") == k, -F.element_at("near", -1)["far"]).otherwise(F.lit(-2.0)).alias("bound"))
+        asking = dealt.select("idx", "vec", "key").join(bounds, "idx", "left").withColumn("bound", F.coalesce("bound", F.lit(-2.0)))
+        asking = asking.withColumn("stripe", F.pmod(F.hash("key"), F.lit(stripes))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).drop("key")
+        stored = dealt.select(F.col("idx").alias("rep"), F.col("vec").alias("known"), F.pmod(F.hash("key"), F.lit(parts)).alias("part")).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
+        missed = asking.groupBy("stripe", "part").cogroup(stored.groupBy("stripe", "part")).applyInPandas(compare, "idx long, rep long, cosine double")
+        known = best.select("idx", F.explode("near").alias("x")).select("idx", F.col("x.rep").alias("rep"), (-F.col("x.far")).alias("cosine"))
+        both = known.unionByName(missed).groupBy("idx", "rep").agg(F.max("cosine").alias("cosine"))
+        best = materialise(nearest(both), "answers")
 
     few = copies.filter(F.col("n") <= k + 1).select(F.col("idx").alias("neighbour"), "rep", "n")
     of_rep = best.select(F.col("idx").alias("rep_a"), F.explode("near").alias("x")).select("rep_a", F.col("x.rep").alias("rep"), (-F.col("x.far")).alias("cosine"))
