@@ -18,7 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryweave.plans import materialise
@@ -87,26 +87,27 @@ def consolidate(pairs: DataFrame, left: str, right: str, cell_edges: int = CELL_
         if blocks == 1 and left_over <= cell_edges:
             parents.append(stars.select(F.col("v").alias("id"), F.col("root").alias("parent")))
             break
-        met = stars.groupBy("v").agg(F.array_sort(F.collect_set("root")).alias("roots"))
-        held = stars.select(F.col("root").alias("v")).distinct().withColumn("held", F.lit(True))
-        # roots of one vertex: at most one for each cell of its row and column
-        met = materialise(met.join(held, "v", "left"), "exchange")
-        leaves = met.filter("held is null")
-        parents.append(leaves.select(F.col("v").alias("id"), F.col("roots")[0].alias("parent")))
-        linked = leaves.filter(F.size("roots") > 1).select(F.col("roots")[0].alias("a"), F.explode(F.slice("roots", 2, F.size("roots") - 1)).alias("b"))
-        kept = met.filter("held is not null").select(F.explode("roots").alias("a"), F.col("v").alias("b"))
+        # a root's own row says that it stays; windows spill, so that a vertex may have roots in any number of cells
+        tagged = stars.unionByName(stars.select(F.col("root").alias("v"), F.lit(None).cast("string").alias("root")).distinct())
+        of_vertex = Window.partitionBy("v")
+        met = tagged.withColumn("least", F.min("root").over(of_vertex)).withColumn("held", F.max(F.col("root").isNull()).over(of_vertex))
+        met = materialise(met.filter("root is not null"), "exchange")
+        parents.append(met.filter("not held and root = least").select(F.col("v").alias("id"), F.col("least").alias("parent")).distinct())
+        linked = met.filter("not held and root <> least").select(F.col("least").alias("a"), F.col("root").alias("b"))
+        kept = met.filter("held").select(F.col("root").alias("a"), F.col("v").alias("b"))
         edges = materialise(linked.unionByName(kept).distinct(), "edges")
         left_over = edges.count()
         blocks = max(1, blocks // 2)
 
+    # the later rounds hold ever fewer vertices; each is written once, so that a plan reads two tables whatever their number
     resolved: DataFrame | None = None
     for step in reversed(parents):
-        if resolved is not None:
-            known = resolved.select(F.col("id").alias("parent"), F.col("group_id").alias("above"))
-            step = step.join(known, "parent", "left").select("id", F.coalesce("above", "parent").alias("group_id")).unionByName(resolved)
-        else:
-            step = step.select("id", F.col("parent").alias("group_id"))
-        resolved = step
+        if resolved is None:
+            resolved = materialise(step.select("id", F.col("parent").alias("group_id")), "resolved")
+            continue
+        known = resolved.select(F.col("id").alias("parent"), F.col("group_id").alias("above"))
+        step = step.join(known, "parent", "left").select("id", F.coalesce("above", "parent").alias("group_id"))
+        resolved = materialise(step.unionByName(resolved), "resolved")
     if resolved is None:
         return vertices.select("id", F.col("id").alias("group_id"))
     return vertices.join(resolved, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"))

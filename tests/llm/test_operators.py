@@ -41,6 +41,18 @@ def test_groups_against_union_find(spark, cell_edges):
     assert rows_of(grouping.consolidate(df, "l", "r", cell_edges=cell_edges)) == brute_groups(pairs)
 
 
+def test_plan_of_groups_does_not_grow_with_the_rounds(spark):
+    rng = random.Random(3)
+    pairs = [(f"v{rng.randrange(300):03d}", f"v{rng.randrange(300):03d}") for _ in range(400)]
+    df = spark.createDataFrame(pairs, "l string, r string")
+    leaves = []
+    for blocks in (2, 32):
+        got = grouping.consolidate(df, "l", "r", cell_edges=20, first_blocks=blocks)
+        leaves.append(got._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        assert rows_of(got) == brute_groups(pairs)
+    assert leaves == [2, 2]
+
+
 def test_groups_of_nothing(spark):
     assert grouping.consolidate(spark.createDataFrame([], "l string, r string"), "l", "r").count() == 0
 
