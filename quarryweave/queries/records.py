@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarryweave.functions.dois import PLACEHOLDER_SUFFIXES, doi_key
+from quarryweave.functions.dois import CLOSING, PLACEHOLDER_SUFFIXES, doi_key
 from quarryweave.operators import catalog as C
 from quarryweave.operators import knowledge as K
 from quarryweave.operators import retrieval as R
@@ -16,7 +16,7 @@ from quarryweave.streaming.quotas import quota_windows
 FIELDS = ["display_title", "directory_year", "normalized_doi", "byte_size", "sha256"]
 _FULL = " + ".join(f"CASE WHEN trim(CAST({f} AS VARCHAR)) <> '' THEN 1 ELSE 0 END" for f in FIELDS)
 _DOI = r"regexp_extract(lower(replace(regexp_replace(translate(normalized_doi, '１', '1'), '\s+', '', 'g'), '%2F', '/')), '(10\.[0-9]{4,9}(?:\.[0-9]+)*/[^<>]+)', 1)"
-_DOI = rf"(SELECT CASE WHEN d = '' OR regexp_extract(d, '^[^/]*/(.*)$', 1) IN ({', '.join(repr(s) for s in PLACEHOLDER_SUFFIXES)}) OR regexp_matches(regexp_extract(d, '^[^/]*/(.*)$', 1), '^(x+|0+|[-_.]+)$') THEN NULL ELSE d END FROM (SELECT regexp_replace({_DOI}, '[.,;:!?)]+$', '') AS d))"
+_DOI = rf"(SELECT CASE WHEN d = '' OR regexp_extract(d, '^[^/]*/(.*)$', 1) IN ({', '.join(repr(s) for s in PLACEHOLDER_SUFFIXES)}) OR regexp_matches(regexp_extract(d, '^[^/]*/(.*)$', 1), '^(x+|0+|[-_.]+)$') THEN NULL ELSE d END FROM (SELECT regexp_replace(regexp_replace({_DOI}, '[.,;:!?]+$', ''), '{CLOSING.replace("'", "''")}', '\1') AS d))"
 _KEY = "lower(trim({}))"
 
 

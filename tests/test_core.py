@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quarryweave.functions.dois import doi_key
 from quarryweave.functions.keys import canonical_uuid, normal_name
 from quarryweave.operators import catalog, graph, knowledge, retrieval, texts
-from quarryweave.operators.orphans import orphan_references
+from quarryweave.operators.orphans import hot_keys, orphan_references
 from tests.conftest import rows_of
 
 DAY = [dt.datetime(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
@@ -27,6 +27,9 @@ def test_dois_and_uuids(spark):
     spelled = ["https://doi.org/10.1234/AB.c", "doi:10.1234/ab.c", "<10.1234/ab.c>", "10.1234%2Fab.c.", " １0.1234/ab.c ", "10.1234/unknown", "10.99/xxxx", "10.1234/xxxx", "n/a", "", None]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in spelled], "d string").select(doi_key(F.col("d"))).collect()]
     assert got == ["10.1234/ab.c"] * 5 + [None] * 6
+    brackets = {"10.1016/S0022-1996(02)": "10.1016/s0022-1996(02)", "(10.1016/s1(02)).": "10.1016/s1(02)", "10.1/x": None, "10.1234/a[1]];": "10.1234/a[1]", "10.1234/a(b(c))": "10.1234/a(b(c))", "10.1234/a(b.": "10.1234/a(b"}
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in brackets], "d string").select(doi_key(F.col("d"))).collect()]
+    assert got == list(brackets.values())
     one = uuid.uuid4()
     forms = [str(one), "{" + str(one).upper() + "}", f"urn:uuid:{one}", f" {one}\n", one.hex, None, " ", "not an id"]
     got = [r[0] for r in spark.createDataFrame([(x,) for x in forms], "d string").select(canonical_uuid(F.col("d"))).collect()]
@@ -57,6 +60,16 @@ def test_orphans_against_brute_force(spark):
     assert got.count() == len(brute_orphans(children, parents))
 
 
+def test_a_key_in_many_spellings_is_hot(spark):
+    # one key in 1,000 spellings, none of them frequent by itself, holds most references
+    spelled = ["".join(c.upper() if i >> k & 1 else c for k, c in enumerate("conductivity")) for i in range(1000)]
+    rows = spark.range(120_000).select(F.lit("rel").alias("ref_table"), F.lit("src").alias("ref_field"), F.col("id").alias("ref_row"), F.element_at(F.array(*map(F.lit, spelled)), (F.col("id") % 1000 + 1).cast("int")).alias("ref_key"), F.lit("name").alias("parent_table"), F.lit(DAY[3]).alias("at"))
+    got = orphan_references(rows, spark.createDataFrame([("name", "Conductivity", DAY[5], None, 0)], PARENT))
+    assert got.groupBy("reason").count().collect() == [("late", 120_000)]
+    parts = [r["parts"] for r in hot_keys(rows.withColumn("key", F.lower("ref_key"))).collect()]
+    assert parts == [512]
+
+
 def test_orphans_of_empty_tables(spark):
     no_children, no_parents = spark.createDataFrame([], CHILD), spark.createDataFrame([], PARENT)
     assert orphan_references(no_children, no_parents).count() == 0
