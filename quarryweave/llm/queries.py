@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryweave.functions.dois import doi_key
@@ -36,10 +36,14 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return p3_pieces(spark, folder).filter("piece_no = 1").select("scan_no")
 
 
+#: Fields of a surviving record.
+RECORD_FIELDS = ("source_id", "root_id", "relative_path", "source_kind", "display_title", "status", "directory_year", "normalized_doi", "legal_status", "sha256", "byte_size")
+
+
 def _catalog_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """Catalog rows with the number of their source: the smallest record_no of all rows of one source."""
+    """Catalog rows with the number of their source: the smallest record_no of all rows of one source, and their root's trust."""
     rows = read_table(spark, folder, "source_catalog").select(
-        "record_no", "root_id", "observed_at", "byte_size", "legal_status",
+        "record_no", "observed_at", *RECORD_FIELDS,
         F.coalesce(canonical_uuid(F.col("source_id")), F.concat(F.lit("row "), F.col("record_no").cast("string"))).alias("source"),
         canonical_uuid(F.col("canonical_source_id")).alias("canonical"),
         doi_key(F.col("normalized_doi")).alias("doi"),
@@ -49,24 +53,37 @@ def _catalog_groups(spark: SparkSession, folder: str) -> DataFrame:
     to_source = rows.filter("canonical is not null").join(known, "canonical", "left_semi").select(F.col("source").alias("a"), F.col("canonical").alias("b"))
     to_work = rows.filter("doi is not null").select(F.col("source").alias("a"), F.concat(F.lit("doi "), "doi").alias("b"))
     groups = consolidate(rows.select(F.col("source").alias("a"), F.col("source").alias("b")).unionByName(to_source).unionByName(to_work), "a", "b")
-    rows = materialise(rows.join(groups.withColumnRenamed("id", "source"), "source"), "grouped")
+    ranks = read_table(spark, folder, "root_ranks").groupBy("root_id").agg(F.min("trust_rank").alias("trust_rank"))
+    rows = materialise(rows.drop("canonical").join(groups.withColumnRenamed("id", "source"), "source").join(ranks, "root_id", "left"), "grouped")
     numbers = rows.groupBy("group_id").agg(F.min("record_no").alias("group_no"), F.count("*").alias("n_rows"))
     return rows.join(numbers, "group_id")
 
 
+def _usable(field: str) -> Column:
+    """Whether a row has a value of a field that may survive: not null, blank or ``unknown``, a size above 0, a DOI that is none of the placeholders."""
+    if field == "normalized_doi":
+        return F.col("doi").isNotNull()
+    if field in ("byte_size", "directory_year"):
+        return F.col(field) >= 1
+    text = F.lower(F.trim(F.regexp_replace(field, r"(?U)\s+", " ")))
+    return text.isNotNull() & ~text.isin("", "unknown")
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _catalog_groups(spark, folder).filter("n_rows > 1").join(read_table(spark, folder, "root_ranks").groupBy("root_id").agg(F.min("trust_rank").alias("trust_rank")), "root_id", "left")
-    status = F.lower(F.trim(F.regexp_replace("legal_status", r"(?U)\s+", " ")))
-    usable = {"normalized_doi": F.col("doi").isNotNull(), "byte_size": F.col("byte_size") >= 1, "legal_status": status.isNotNull() & ~status.isin("", "unknown")}
-    return surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", usable)
+    rows = _catalog_groups(spark, folder).filter("n_rows > 1")
+    return surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", {f: _usable(f) for f in ("normalized_doi", "byte_size", "legal_status")})
 
 
 def p4_survivors(spark: SparkSession, folder: str) -> DataFrame:
-    """One surviving record for each source of two or more rows, each field from the row that keeps it."""
-    rows = read_table(spark, folder, "source_catalog").select("record_no", doi_key(F.col("normalized_doi")).alias("doi"), "byte_size", "legal_status")
-    kept = p4_found(spark, folder).join(rows, "record_no")
-    pick = lambda f, c: F.max(F.when(F.col("field_name") == f, F.col(c))).alias(f)
-    return kept.groupBy("group_no").agg(pick("normalized_doi", "doi"), pick("byte_size", "byte_size"), pick("legal_status", "legal_status"))
+    """One surviving record for each source, each field from the row that keeps it; null where no row has a usable value."""
+    rows = materialise(_catalog_groups(spark, folder), "numbered")
+    kept = surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", {f: _usable(f) for f in RECORD_FIELDS})
+    # a row keeps as many fields as there are at most
+    kept = kept.groupBy("group_no", "record_no").agg(F.collect_set("field_name").alias("fields"))
+    value = {f: F.col("doi") if f == "normalized_doi" else F.col(f) for f in RECORD_FIELDS}
+    chosen = kept.join(rows.select("record_no", *(v.alias(f) for f, v in value.items())), "record_no")
+    picked = chosen.groupBy("group_no").agg(*(F.max(F.when(F.array_contains("fields", f), F.col(f))).alias(f) for f in RECORD_FIELDS))
+    return rows.groupBy("group_no").agg(F.max("n_rows").alias("n_rows")).join(picked, "group_no", "left")
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,7 +122,9 @@ def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
-    limit = read_table(spark, folder, "size_limits").filter("limit_name = 'container'").agg(F.min("max_size")).first()[0]
+    limit = read_table(spark, folder, "size_limits").filter("limit_name = 'container'").agg(F.coalesce(F.min("max_size"), F.lit(0))).first()[0]
+    if limit < 1:
+        raise ValueError("size_limits has no row named container")
     sizes = token_counts(read_table(spark, folder, "documents"), "doc_id", "text")
     return pack(sizes, "doc_id", "n_tokens", limit).select("doc_id", "piece_no", F.col("begin").alias("begin_token"), F.col("size").alias("n_tokens"), "container_no")
 

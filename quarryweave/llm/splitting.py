@@ -130,6 +130,11 @@ def _overlap_begin(text: str, least: int, begin: int, overlap: int) -> int:
 _PIECES = "{id} {id_type}, piece_no int, n_pieces int, begin_char long, own_begin_char long, end_char long, n_bytes int, overlap_bytes int, piece string"
 
 
+_COLUMNS = ["_id", "piece_no", "n_pieces", "begin_char", "own_begin_char", "end_char", "n_bytes", "overlap_bytes", "piece"]
+#: Bytes of pieces a worker holds before it passes them on.
+HELD_BYTES = 16_000_000
+
+
 def split_oversized(texts: DataFrame, row: str, text: str, kind: str, limits: DataFrame, limit_name: str = "limit_name", max_size: str = "max_size", overlap: str = "overlap_size") -> DataFrame:
     """Pieces of every text, one row each, within the limit of its kind.
 
@@ -143,13 +148,17 @@ def split_oversized(texts: DataFrame, row: str, text: str, kind: str, limits: Da
     joined = rows.join(bounds, "_kind", "left").select("_id", "_text", "_max", "_over")
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, held = [], 0
         for batch in batches:
-            out = []
             for row_id, body, most, over in zip(batch["_id"], batch["_text"], batch["_max"], batch["_over"], strict=True):
                 bounded = most is not None and most == most and most >= 1
                 parts = split_text(body, int(most), int(over) if over == over and over is not None else 0) if bounded else [(0, 0, len(body))]
                 for k, (a, b, c) in enumerate(parts):
                     out.append((row_id, k, len(parts), a, b, c, _size(body[a:c]), _size(body[a:b]), body[a:c]))
-            yield pd.DataFrame(out, columns=["_id", "piece_no", "n_pieces", "begin_char", "own_begin_char", "end_char", "n_bytes", "overlap_bytes", "piece"])
+                    held += out[-1][6]
+                    if held >= HELD_BYTES:
+                        yield pd.DataFrame(out, columns=_COLUMNS)
+                        out, held = [], 0
+        yield pd.DataFrame(out, columns=_COLUMNS)
 
     return joined.mapInPandas(pieces, _PIECES.format(id="_id", id_type=id_type)).withColumnRenamed("_id", row)

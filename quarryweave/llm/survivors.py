@@ -27,9 +27,26 @@ def _dominates(q: Column, r: Column) -> Column:
     return covers & no_worse & better
 
 
-def _peel(rest: Column) -> tuple[Column, Column]:
-    on_top = lambda r: ~F.exists(rest, lambda q: _dominates(q, r))
-    return F.filter(rest, on_top), F.filter(rest, lambda r: ~on_top(r))
+def _filled(rest: Column, fields: int, row_type: str) -> Column:
+    """For each field the row it is taken from: layer after layer is taken off, and fills what the ones before left open."""
+    start = F.struct(rest.alias("rest"), F.array_repeat(F.lit(None).cast(row_type), fields).alias("picks"))
+
+    def step(state: Column, depth: Column) -> Column:
+        left = state["rest"]
+        # the last layer is what is left; nothing is peeled once all fields are filled
+        top = F.when(depth == fields, left).otherwise(F.filter(left, lambda r: ~F.exists(left, lambda q: _dominates(q, r))))
+        open_ = F.exists(state["picks"], lambda x: x.isNull())
+        deeper = F.when(depth == fields, F.slice(left, 1, 0)).otherwise(F.filter(left, lambda r: F.exists(left, lambda q: _dominates(q, r))))
+
+        def fill(pick: Column, i: Column) -> Column:
+            having = F.filter(top, lambda r: F.call_function("shiftright", r["mask"], i).bitwiseAND(F.lit(1)) == 1)
+            keyed = F.transform(having, lambda r: F.struct(r["trust"].alias("t"), (-r["seen"]).alias("s"), r["row"].alias("row")))
+            return F.coalesce(pick, F.array_min(keyed)["row"])
+
+        filled = F.struct(deeper.alias("rest"), F.transform(state["picks"], fill).alias("picks"))
+        return F.when(open_ & (F.size(left) > 0), filled).otherwise(state)
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(fields)), start, step, lambda state: state["picks"])
 
 
 def surviving_values(records: DataFrame, group: str, row: str, trust: str, seen: str, usable: dict[str, Column]) -> DataFrame:
@@ -51,21 +68,6 @@ def surviving_values(records: DataFrame, group: str, row: str, trust: str, seen:
     best = ranked.groupBy("grp", "mask", "trust").agg(F.max(F.struct("seen", (-F.col("row")).alias("minus"))).alias("top"))
     best = best.select("grp", F.struct("mask", "trust", F.col("top.seen").alias("seen"), (-F.col("top.minus")).alias("row")).alias("rec"))
     layered = best.groupBy("grp").agg(F.collect_list("rec").alias("rest"))
-    layers: list[str] = []
-    for depth in range(len(fields)):
-        top, rest = _peel(F.col("rest"))
-        layered = layered.withColumn(f"layer{depth}", top).withColumn("rest", rest)
-        layers.append(f"layer{depth}")
-    layers.append("rest")
-
-    def chosen(bit: int) -> Column:
-        def first(layer: str) -> Column:
-            having = F.filter(F.col(layer), lambda r: r["mask"].bitwiseAND(F.lit(bit)) > 0)
-            keyed = F.transform(having, lambda r: F.struct(r["trust"], -r["seen"], r["row"]))
-            return F.array_min(keyed)["row"]
-
-        return F.coalesce(*(first(x) for x in layers))
-
-    picks = F.array(*(F.struct(F.lit(f).alias("field_name"), chosen(1 << i).alias("row")) for i, f in enumerate(fields)))
-    out = layered.select("grp", F.explode(picks).alias("p")).filter("p.row is not null")
-    return out.select(F.col("grp").alias(group), "p.field_name", F.col("p.row").alias(row))
+    row_type = dict(ranked.dtypes)["row"]
+    picks = layered.select("grp", F.posexplode(_filled(F.col("rest"), len(fields), row_type)).alias("i", "row")).filter("row is not null")
+    return picks.select(F.col("grp").alias(group), F.element_at(F.array(*map(F.lit, fields)), F.col("i") + 1).alias("field_name"), F.col("row").alias(row))
