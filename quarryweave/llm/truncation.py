@@ -56,18 +56,26 @@ _TOKENS = rf"""
 SELECT row_id, source, copy, n_chars, n_bytes, length(bare) AS n_bare, length(body) AS n_body, mark <> '' OR broken AS marked, broken,
        last_line RLIKE r'^\s*\|' AS in_table,
        NOT last_line RLIKE r'\|$' OR (line_before RLIKE r'^\s*\|' AND length(last_line) - length(replace(last_line, '|', '')) < length(line_before) - length(replace(line_before, '|', ''))) AS row_open,
-       array_position(reverse(t), '\n') AS from_end, t
-FROM (SELECT *, transform(concat(array('^', '^'), regexp_extract_all(lower(body), r'{_TOKEN}', 0)), x -> IF(x >= '0' AND x < ':', '#', x)) AS t
-  FROM (SELECT *, substring_index(body, '\n', -1) AS last_line, substring_index(substring_index(body, '\n', -2), '\n', 1) AS line_before
+       transform(concat(array('^', '^'), regexp_extract_all(lower(body), r'{_TOKEN}', 0)), x -> IF(x >= '0' AND x < ':', '#', x)) AS t
+FROM (
+  SELECT *, substring_index(body, '\n', -1) AS last_line, substring_index(substring_index(body, '\n', -2), '\n', 1) AS line_before
   FROM (
     SELECT *, rtrim({_BLANK}, left(whole, length(whole) - length(mark))) AS body
     FROM (
-      SELECT *, regexp_extract(whole, r'{_MARK}', 0) AS mark
+      SELECT *, IF(right(whole, 1) IN ('…', ')', ']') OR right(whole, 3) = '...', regexp_extract(whole, r'{_MARK}', 0), '') AS mark
       FROM (
         SELECT *, right(bare, 1) = {_BROKEN} AS broken, rtrim(concat({_BLANK}, {_BROKEN}), bare) AS whole
         FROM (
           SELECT row_no AS row_id, source_name AS source, xxhash64(body_text) AS copy, length(body_text) AS n_chars, octet_length(body_text) AS n_bytes, rtrim({_BLANK}, body_text) AS bare
-          FROM {{texts}} WHERE body_text IS NOT NULL)))) WHERE body <> ''))
+          FROM {{texts}} WHERE body_text IS NOT NULL))))
+WHERE body <> '')
+"""
+
+#: The same without the tokens: the last three, and how the last of several lines opens.
+_ENDS = r"""
+SELECT * EXCEPT (t, from_end), xxhash64(get(t, size(t) - 3), get(t, size(t) - 2)) AS ab, xxhash64(get(t, size(t) - 2)) AS b, get(t, size(t) - 1) AS c,
+       IF(from_end > 2, xxhash64('\n', get(t, size(t) - from_end + 1)), NULL) AS oab, IF(from_end > 2, get(t, size(t) - from_end + 2), NULL) AS oc
+FROM (SELECT *, array_position(reverse(t), '\n') AS from_end FROM {tokens})
 """
 
 #: Trigrams inside texts: how often each stands, and how often an end follows.
@@ -83,7 +91,7 @@ _FINALS = """
 SELECT *, xxhash64(3, ab, c) AS k3, xxhash64(2, b, c) AS k2, xxhash64(1, c) AS k1
 FROM (
   SELECT ab, b, c, count(DISTINCT copy) AS texts, count(*) AS n_rows
-  FROM (SELECT xxhash64(get(t, size(t) - 3), get(t, size(t) - 2)) AS ab, xxhash64(get(t, size(t) - 2)) AS b, get(t, size(t) - 1) AS c, copy FROM {tokens})
+  FROM {ends}
   GROUP BY ab, b, c)
 """
 
@@ -130,20 +138,20 @@ FROM (
 
 _JUDGED = rf"""
 WITH lengths AS (
-  SELECT source, copy, explode(array(named_struct('kind', 'c', 'size', IF(marked, n_body, n_chars)), named_struct('kind', 'b', 'size', IF(marked, NULL, n_bytes)))) AS x FROM {{tokens}}
+  SELECT source, copy, explode(array(named_struct('kind', 'c', 'size', IF(marked, n_body, n_chars)), named_struct('kind', 'b', 'size', IF(marked, NULL, n_bytes)))) AS x FROM {{ends}}
 ), sized AS (SELECT source, x.kind, x.size, count(DISTINCT copy) AS m FROM lengths WHERE x.size IS NOT NULL AND source IS NOT NULL GROUP BY source, x.kind, x.size
 ), limits AS (
   SELECT source, kind, size FROM (SELECT *, sum(m) OVER (PARTITION BY source, kind ORDER BY size DESC) AS as_long FROM sized)
   WHERE m >= {LIMIT_TEXTS} AND m >= {LIMIT_PART} * as_long
-), opened AS (
-  SELECT row_id, copy, xxhash64('\n', get(t, size(t) - from_end + 1)) AS oab, get(t, size(t) - from_end + 2) AS oc FROM {{tokens}} WHERE from_end > 2
-), openings AS (SELECT oab, oc, count(DISTINCT copy) AS closed FROM opened GROUP BY oab, oc HAVING count(DISTINCT copy) >= {LEAST_CLOSED}
-), closing AS (SELECT oab, oc FROM openings LEFT JOIN (SELECT ab, c, sum(n) AS n FROM {{inside}} GROUP BY ab, c) ON ab = oab AND c = oc WHERE closed >= {CLOSED_PART} * coalesce(n, 0)
-), closers AS (SELECT DISTINCT row_id AS closer FROM opened LEFT SEMI JOIN closing ON closing.oab = opened.oab AND closing.oc = opened.oc
+), openings AS (SELECT oab, oc, count(DISTINCT copy) AS closed FROM {{ends}} WHERE oc IS NOT NULL GROUP BY oab, oc HAVING count(DISTINCT copy) >= {LEAST_CLOSED}
+), closing AS (
+  SELECT oab, oc FROM openings LEFT JOIN (SELECT ab, c, sum(n) AS n FROM {{inside}} LEFT SEMI JOIN openings ON openings.oab = ab AND openings.oc = c GROUP BY ab, c) ON ab = oab AND c = oc
+  WHERE closed >= {CLOSED_PART} * coalesce(n, 0)
+), closers AS (SELECT DISTINCT row_id AS closer FROM {{ends}} e LEFT SEMI JOIN closing ON closing.oab = e.oab AND closing.oc = e.oc
 ), ends AS (
-  SELECT row_id, closer IS NOT NULL AS in_closing, l.source, marked, broken, in_table, row_open, xxhash64(get(t, size(t) - 3), get(t, size(t) - 2)) AS ab, get(t, size(t) - 1) AS c,
+  SELECT row_id, l.source, marked, broken, in_table, row_open, ab, c, closer IS NOT NULL AS in_closing,
          (lc.source IS NOT NULL OR lb.source IS NOT NULL) AND (marked OR n_bare >= n_chars - 1) AS at_limit
-  FROM {{tokens}} l LEFT JOIN closers ON closers.closer = l.row_id
+  FROM {{ends}} l LEFT JOIN closers ON closers.closer = l.row_id
   LEFT JOIN limits lc ON lc.source = l.source AND lc.kind = 'c' AND lc.size = IF(l.marked, l.n_body, l.n_chars)
   LEFT JOIN limits lb ON lb.source = l.source AND lb.kind = 'b' AND lb.size = IF(l.marked, NULL, l.n_bytes)
 ), hot AS (SELECT ab, c FROM {{finals}} WHERE n_rows * {HOT_SHARE} > (SELECT sum(n_rows) FROM {{finals}})
@@ -184,11 +192,12 @@ def judge_ends(texts: DataFrame, row: str, text: str, source: str) -> DataFrame:
     named = texts.selectExpr(f"`{row}` AS row_no", f"`{text}` AS body_text", f"`{source}` AS source_name")
     tokens = materialise(_query(spark, _TOKENS, texts=named), "tokens")
     inside = materialise(_query(spark, _INSIDE, tokens=tokens), "trigrams")
-    finals = materialise(_query(spark, _FINALS, tokens=tokens), "finals")
+    ends = materialise(_query(spark, _ENDS, tokens=tokens), "ends")
+    finals = materialise(_query(spark, _FINALS, ends=ends), "finals")
     counts = materialise(_query(spark, _COUNTS, inside=inside, finals=finals), "counts")
     levels = _query(spark, _LEVELS, finals=finals, counts=counts)
     shares = materialise(_query(spark, _SHARES, levels=levels, inside=inside), "shares")
-    return _query(spark, _JUDGED, tokens=tokens, finals=finals, shares=shares, inside=inside)
+    return _query(spark, _JUDGED, ends=ends, finals=finals, shares=shares, inside=inside)
 
 
 def truncation_rates(judged: DataFrame) -> DataFrame:
