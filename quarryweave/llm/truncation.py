@@ -51,31 +51,39 @@ _BLANK = "decode(unhex('" + _BLANKS.encode().hex() + "'), 'UTF-8')"
 _BROKEN = "decode(unhex('efbfbd'), 'UTF-8')"
 _STOPS = "('\n', '.', '!', '?', '。', '！', '？')"
 
+#: Last bytes that a blank may have (others need no look), in hexadecimal.
+_BLANK_BYTES = "(" + ", ".join(f"'{x:02X}'" for x in sorted({c.encode()[-1] for c in _BLANKS})) + ")"
+
+
+def _trimmed(text: str) -> str:
+    """SQL: a text without blanks at its end."""
+    return f"IF(hex(substring(CAST({text} AS BINARY), -1, 1)) IN {_BLANK_BYTES}, rtrim({_BLANK}, {text}), {text})"
+
+
 #: Every text's tokens without blanks and marks of omission at the end, and what else its end shows.
 _TOKENS = rf"""
-SELECT row_id, source, copy, n_chars, n_bytes, length(bare) AS n_bare, length(body) AS n_body, mark <> '' OR broken AS marked, broken,
-       last_line RLIKE r'^\s*\|' AS in_table,
-       NOT last_line RLIKE r'\|$' OR (line_before RLIKE r'^\s*\|' AND length(last_line) - length(replace(last_line, '|', '')) < length(line_before) - length(replace(line_before, '|', ''))) AS row_open,
+SELECT row_id, source, copy, n_chars, n_bytes, IF(octet_length(bare) = n_bytes, n_chars, length(bare)) AS n_bare, IF(mark <> '' OR broken, length(body), n_chars) AS n_body, mark <> '' OR broken AS marked, broken,
+       startswith(ltrim(last_line), '|') AS in_table,
+       startswith(ltrim(last_line), '|') AND (NOT endswith(last_line, '|') OR (startswith(ltrim(line_before), '|') AND length(last_line) - length(replace(last_line, '|', '')) < length(line_before) - length(replace(line_before, '|', '')))) AS row_open,
        transform(concat(array('^', '^'), regexp_extract_all(lower(body), r'{_TOKEN}', 0)), x -> IF(x >= '0' AND x < ':', '#', x)) AS t
 FROM (
   SELECT *, substring_index(body, '\n', -1) AS last_line, substring_index(substring_index(body, '\n', -2), '\n', 1) AS line_before
   FROM (
-    SELECT *, rtrim({_BLANK}, left(whole, length(whole) - length(mark))) AS body
+    SELECT *, IF(mark = '', whole, rtrim({_BLANK}, left(whole, length(whole) - length(mark)))) AS body
     FROM (
-      SELECT *, IF(right(whole, 1) IN ('…', ')', ']') OR right(whole, 3) = '...', regexp_extract(whole, r'{_MARK}', 0), '') AS mark
+      SELECT *, IF(endswith(whole, '…') OR endswith(whole, ')') OR endswith(whole, ']') OR endswith(whole, '...'), regexp_extract(whole, r'{_MARK}', 0), '') AS mark
       FROM (
-        SELECT *, right(bare, 1) = {_BROKEN} AS broken, rtrim(concat({_BLANK}, {_BROKEN}), bare) AS whole
+        SELECT *, endswith(bare, {_BROKEN}) AS broken, IF(endswith(bare, {_BROKEN}), rtrim(concat({_BLANK}, {_BROKEN}), bare), bare) AS whole
         FROM (
-          SELECT row_no AS row_id, source_name AS source, xxhash64(body_text) AS copy, length(body_text) AS n_chars, octet_length(body_text) AS n_bytes, rtrim({_BLANK}, body_text) AS bare
-          FROM {{texts}} WHERE body_text IS NOT NULL))))
-WHERE body <> '')
+          SELECT row_no AS row_id, source_name AS source, xxhash64(body_text) AS copy, length(body_text) AS n_chars, octet_length(body_text) AS n_bytes, {_trimmed("body_text")} AS bare
+          FROM {{texts}} WHERE body_text IS NOT NULL)))))
 """
 
 #: The same without the tokens: the last three, and how the last of several lines opens.
 _ENDS = r"""
 SELECT * EXCEPT (t, from_end), xxhash64(get(t, size(t) - 3), get(t, size(t) - 2)) AS ab, xxhash64(get(t, size(t) - 2)) AS b, get(t, size(t) - 1) AS c,
        IF(from_end > 2, xxhash64('\n', get(t, size(t) - from_end + 1)), NULL) AS oab, IF(from_end > 2, get(t, size(t) - from_end + 2), NULL) AS oc
-FROM (SELECT *, array_position(reverse(t), '\n') AS from_end FROM {tokens})
+FROM (SELECT *, array_position(reverse(t), '\n') AS from_end FROM {tokens} WHERE size(t) > 2)
 """
 
 #: Trigrams inside texts: how often each stands, and how often an end follows.
