@@ -2,12 +2,16 @@
 
 Vectors are dealt to shards by the nearest of some centres (fitted on a bounded sample, all vectors
 are indexed); a centre with more vectors than one graph may hold is split by a hash into several.
-Each shard's graph is built in blocks: a block searches the graph so far and itself, keeps a diverse
-choice of what it finds and links back.  The graph is stored as flat arrays (vectors, neighbour
-places, level sizes), one row for each shard, in the shared folder.  Every vector then searches the
-graphs of the centres nearest to it, in blocks of queries, and the answers of the shards are merged.
-Where there are more centres than that, the k-th of these answers is a bound: every vector is compared
-with all others over a grid of blocks, and what is nearer than its bound is merged too.
+Many centres are fitted in two levels and found through the upper one.  Each shard's graph is built in
+blocks: a block searches the graph so far and itself, keeps a diverse choice of what it finds and links
+back.  The graph is stored as flat arrays (vectors, neighbour places, level sizes), one row for each
+shard, in the shared folder.
+
+Every vector then searches the graphs of all centres that are at most a margin less similar to it than
+its nearest one, so that a vector between several shards asks more of them than one in the midst of
+its own.  The margin is fitted on a bounded sample of queries: within it lie the shards of a share of
+their true neighbours.  The answers of the shards are merged.  With ``exact`` the k-th of these answers
+is a bound, and every vector is also compared with all others over a grid of blocks.
 
 Exact copies are one vertex of the graph and come back as neighbours of each other.
 """
@@ -26,14 +30,19 @@ from quarryweave.plans import materialise
 
 #: Vectors a centre stands for, vectors one graph holds at most, queries searched together.
 SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 2_000, 16_000, 8_000
-#: Sample the centres are fitted on, and how many there are at most; beyond that shards grow and are split.
-CENTRE_SAMPLE, MOST_CENTRES = 16_384, 2_048
+#: Samples that centres and margin are fitted on: vectors, queries among them, vectors for each centre of the lower level.
+CENTRE_SAMPLE, MARGIN_QUERIES, CELL_SAMPLE = 16_384, 2_048, 32
+#: Centres from which on there are two levels, and how many there are at most (a broadcast of 32 MB at 64 numbers each);
+#: that is 262 million vectors, beyond them shards grow.
+ONE_LEVEL, MOST_CENTRES = 512, 131_072
+#: Share of the sampled queries' true neighbours whose shards lie within the margin.
+WANTED_SHARE = 0.995
 #: Links of a vertex above the ground level (twice as many there), breadth of search when building and asking.
 LINKS, BUILD_BREADTH, SEARCH_BREADTH = 12, 48, 48
-#: Shards a query searches: those of its nearest centres.
-PROBES = 5
-#: Queries and vectors of one cell of the grid that finds what the probes missed.
+#: Queries and vectors of one cell of the grid that finds what the margin and the graphs miss.
 CELL_QUERIES, CELL_ROWS = 16_000, 64_000
+#: A vector with more than one in this many rows, and so many at least, is dealt into parts.
+HOT_SHARE, HOT_LEAST, HOT_PARTS = 512, 1_000, 64
 
 
 def _search(vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, starts: np.ndarray, breadth: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,6 +247,61 @@ def fit_centres(sample: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
     return centres.astype(np.float32)
 
 
+class Centres:
+    """Centres of one level, or of two: each of the upper ones with its own."""
+
+    def __init__(self, upper: np.ndarray, lower: list[np.ndarray] | None = None):
+        self.upper, self.lower = upper, lower
+        self.first = np.concatenate([[0], np.cumsum([len(x) for x in lower])]) if lower else None
+        self.count = int(self.first[-1]) if lower else len(upper)
+
+    def near(self, unit: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, centre, similarity) of all centres within the margin of each row's nearest one, the nearest of a row first."""
+        sims = unit @ self.upper.T
+        rows, cells = np.nonzero(sims >= sims.max(axis=1, keepdims=True) - max(margin, 0.0))
+        if self.lower is None:
+            value = sims[rows, cells]
+        else:
+            order = np.argsort(cells, kind="stable")
+            rows, cells = rows[order], cells[order]
+            found = []
+            for cell in np.unique(cells):
+                mine = rows[np.searchsorted(cells, cell) : np.searchsorted(cells, cell, "right")]
+                inner = unit[mine] @ self.lower[cell].T
+                r, c = np.nonzero(inner >= inner.max(axis=1, keepdims=True) - max(margin, 0.0))
+                found.append((mine[r], c + self.first[cell], inner[r, c]))
+            rows, cells, value = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (rows, cells, np.zeros(0, dtype=np.float32))
+            best = np.full(len(unit), -2.0, dtype=np.float32)
+            np.maximum.at(best, rows, value)
+            keep = value >= best[rows] - max(margin, 0.0)
+            rows, cells, value = rows[keep], cells[keep], value[keep]
+        order = np.lexsort((cells, -value, rows))
+        return rows[order], cells[order].astype(np.int32), value[order]
+
+
+def fit_margin(centres: Centres, sample: np.ndarray, k: int, queries: int = MARGIN_QUERIES, share: float = WANTED_SHARE) -> float:
+    """How much less similar a centre may be than the nearest one, so that the shards of a share of the sample's neighbours lie within.
+
+    Neighbours within a sample are farther than those within all vectors, which makes the margin wide
+    rather than narrow.
+    """
+    if centres.count < 2 or len(sample) < 2:
+        return 0.0
+    rows, cells, _ = centres.near(sample, 0.0)
+    own = np.full(len(sample), -1)
+    own[rows[::-1]] = cells[::-1]
+    flat = centres.upper if centres.lower is None else np.concatenate(centres.lower)
+    gaps = []
+    for a in range(0, min(queries, len(sample)), 256):
+        asked = sample[a : a + 256]
+        sims = asked @ sample.T
+        sims[np.arange(len(asked)), np.arange(a, a + len(asked))] = -2
+        near = np.argpartition(-sims, min(k, sims.shape[1] - 1) - 1, axis=1)[:, :k]
+        best = np.einsum("md,md->m", asked, flat[own[a : a + len(asked)]])
+        gaps.append((best[:, None] - np.einsum("mkd,md->mk", flat[own[near]], asked)).ravel())
+    return float(np.quantile(np.concatenate(gaps), share))
+
+
 def _units(column: pd.Series) -> np.ndarray:
     raw = np.array(column.tolist(), dtype=np.float64)
     raw /= np.abs(raw).max(axis=1, keepdims=True)
@@ -251,19 +315,62 @@ def usable_vectors(vectors: DataFrame, row: str, embedding: str, dim: int) -> Da
     return rows.filter((F.size("vec") == dim) & finite & F.exists("vec", lambda x: x != 0) & F.col("idx").isNotNull())
 
 
-def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim: int = 64, probes: int = PROBES, shard_rows: int = SHARD_ROWS, breadth: int = SEARCH_BREADTH) -> DataFrame:
+def _fit_all(distinct: DataFrame, sample: np.ndarray, count: int, one_level: int) -> Centres:
+    """So many centres; the lower of two levels is fitted for each upper one apart, on a bounded sample of its vectors."""
+    count = min(count, MOST_CENTRES)
+    if count <= one_level:
+        return Centres(fit_centres(sample, min(count, len(sample))))
+    upper = distinct.sparkSession.sparkContext.broadcast(fit_centres(sample, min(math.ceil(math.sqrt(count)), len(sample))))
+    each = math.ceil(count / len(upper.value))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch[["vec", "key"]].assign(cell=(_units(batch["vec"]).astype(np.float32) @ upper.value.T).argmax(axis=1).astype(np.int32))
+
+    # a cell gets centres by its share of the sample, and is fitted on CELL_SAMPLE vectors for each
+    owner = np.bincount((sample @ upper.value.T).argmax(axis=1), minlength=len(upper.value))
+    wanted = np.maximum(1, np.round(owner / max(len(sample), 1) * count)).astype(int)
+    most = int(wanted.max()) * CELL_SAMPLE
+    # CELL_SAMPLE vectors for each centre in all, of whatever number of vectors
+    drawn = distinct.filter(F.pmod("key", F.lit(1_000_003)) < F.lit(math.ceil(1_000_003 * min(1.0, 2 * CELL_SAMPLE * each * len(upper.value) / max(distinct.count(), 1)))))
+    ranked = drawn.mapInPandas(place, "vec array<float>, key long, cell int").withColumn("at", F.row_number().over(Window.partitionBy("cell").orderBy("key"))).filter(F.col("at") <= most)
+
+    def fit(rows: pd.DataFrame) -> pd.DataFrame:
+        cell = int(rows["cell"].iloc[0])
+        unit = _units(rows.sort_values("key", kind="stable")["vec"]).astype(np.float32)
+        own = fit_centres(unit, min(int(wanted[cell]), len(unit)))
+        return pd.DataFrame({"cell": [cell], "own": [own.tobytes()]})
+
+    # MOST_CENTRES vectors at most
+    fitted = {r["cell"]: np.frombuffer(r["own"], dtype=np.float32).reshape(-1, sample.shape[1]) for r in ranked.groupBy("cell").applyInPandas(fit, "cell int, own binary").collect()}
+    return Centres(upper.value, [fitted.get(c, upper.value[c : c + 1]) for c in range(len(upper.value))])
+
+
+def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim: int = 64, shard_rows: int = SHARD_ROWS, breadth: int = SEARCH_BREADTH, share: float = WANTED_SHARE, exact: bool = False, one_level: int = ONE_LEVEL) -> DataFrame:
     """``(idx, neighbour, cosine, rank)``: about the ``k`` most similar other vectors of each usable one.
 
     Null vectors, such of another length than ``dim``, with a null, NaN or infinite element or of
     length zero have no neighbours and are none.  Copies are neighbours with cosine 1; equal cosines
     are ranked by ``neighbour``.  Repeated rows of one ``row`` value count once if their vectors are
-    equal.  An empty table gives no rows.
+    equal.  An empty table gives no rows.  ``share`` is the share of sampled neighbours whose shards
+    must be asked; ``exact`` compares all vectors in blocks too, which misses none and grows with the
+    square of the vectors.
     """
     spark = vectors.sparkSession
     # one vertex for each distinct vector, with the k + 1 first of its copies (each row needs at most k others)
     usable = materialise(usable_vectors(vectors, row, embedding, dim).distinct().withColumn("key", F.xxhash64(F.col("vec"))), "vectors")
+    # at most HOT_SHARE vectors, as their shares add up to one
+    counted = usable.groupBy("vec").agg(F.count("*").alias("n"), F.min("idx").alias("rep"))
+    hot = materialise(counted.filter(F.col("n") * HOT_SHARE > max(usable.count(), HOT_LEAST * HOT_SHARE)).select("vec", "rep"), "hot")
     ordered = Window.partitionBy("vec").orderBy("idx")
-    copies = usable.withColumn("n", F.row_number().over(ordered)).withColumn("rep", F.min("idx").over(Window.partitionBy("vec")))
+    rest = usable.join(F.broadcast(hot.select("vec")), "vec", "left_anti")
+    rest = rest.withColumn("n", F.row_number().over(ordered)).withColumn("rep", F.min("idx").over(Window.partitionBy("vec")))
+    dealt_out = usable.join(F.broadcast(hot), "vec").withColumn("part", F.pmod(F.xxhash64("idx"), F.lit(HOT_PARTS)))
+    dealt_out = dealt_out.withColumn("n", F.row_number().over(Window.partitionBy("vec", "part").orderBy("idx"))).drop("part")
+    first = dealt_out.filter(F.col("n") <= k + 1).withColumn("n", F.row_number().over(ordered))
+    columns = ["idx", "rep", "n", "vec", "key"]
+    copies = rest.select(*columns).unionByName(first.select(*columns)).unionByName(dealt_out.filter(F.col("n") > k + 1).select(*columns))
     copies = materialise(copies.select("idx", "rep", "n", F.when(F.col("n") == 1, F.col("vec")).alias("vec"), "key"), "copies")
     distinct = copies.filter("n = 1").select("idx", "vec", "key")
     total = distinct.count()
@@ -272,15 +379,17 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
 
     count = min(MOST_CENTRES, max(1, math.ceil(total / shard_rows)))
     sample = distinct.orderBy("key", "idx").limit(CENTRE_SAMPLE).select("vec").toPandas()["vec"]  # CENTRE_SAMPLE rows
-    centres = spark.sparkContext.broadcast(fit_centres(_units(sample).astype(np.float32), min(count, len(sample))))
-    asked = min(probes, count)
+    sample = _units(sample).astype(np.float32)
+    centres = _fit_all(distinct, sample, count, one_level)
+    margin = fit_margin(centres, sample, k, share=share)
+    count = centres.count
+    centres = spark.sparkContext.broadcast(centres)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                near = _units(batch["vec"]).astype(np.float32) @ centres.value.T
-                order = np.argsort(-near, axis=1, kind="stable")[:, :asked].astype(np.int32)
-                yield batch[["idx", "vec", "key"]].assign(near=list(order))
+                rows, cells, _ = centres.value.near(_units(batch["vec"]).astype(np.float32), margin)
+                yield batch[["idx", "vec", "key"]].assign(near=np.split(cells, np.flatnonzero(np.diff(rows)) + 1))
 
     dealt = materialise(distinct.mapInPandas(assign, "idx long, vec array<float>, key long, near array<int>"), "dealt")
     sizes = dealt.groupBy(F.col("near")[0].alias("centre")).agg(F.count("*").alias("rows"))
@@ -324,7 +433,7 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     nearest = lambda df: df.groupBy("idx").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "rep"))), 1, k).alias("near"))
     best = materialise(nearest(answers), "answers")
 
-    if asked < count:
+    if exact and count > 1:
         stripes, parts = math.ceil(total / CELL_QUERIES), math.ceil(total / CELL_ROWS)
 
         def compare(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
@@ -356,6 +465,7 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     others = of_rep.join(few.filter(F.col("n") <= k), "rep").select("rep_a", "neighbour", "cosine")
     own = few.filter(F.col("n") > 0).select(F.col("rep").alias("rep_a"), "neighbour", F.lit(1.0).alias("cosine"))
     listed = others.unionByName(own).groupBy("rep_a").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("far"), "neighbour"))), 1, k + 1).alias("near"))
-    each = copies.select("idx", F.col("rep").alias("rep_a")).join(listed, "rep_a")
+    every, crowded = copies.select("idx", F.col("rep").alias("rep_a")), F.broadcast(hot.select(F.col("rep").alias("rep_a")))
+    each = every.join(crowded, "rep_a", "left_anti").join(listed, "rep_a").unionByName(every.join(F.broadcast(listed.join(crowded, "rep_a", "left_semi")), "rep_a"))
     near = F.slice(F.filter(F.col("near"), lambda x: x["neighbour"] != F.col("idx")), 1, k)
     return each.select("idx", F.posexplode(near).alias("at", "x")).select("idx", F.col("x.neighbour").alias("neighbour"), (-F.col("x.far")).alias("cosine"), (F.col("at") + 1).cast("int").alias("rank"))

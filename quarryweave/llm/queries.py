@@ -40,10 +40,10 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 RECORD_FIELDS = ("source_id", "root_id", "relative_path", "source_kind", "display_title", "status", "directory_year", "normalized_doi", "legal_status", "sha256", "byte_size")
 
 
-def _catalog_groups(spark: SparkSession, folder: str) -> DataFrame:
-    """Catalog rows with the number of their source: the smallest record_no of all rows of one source, and their root's trust."""
+def _catalog_groups(spark: SparkSession, folder: str, fields: tuple[str, ...]) -> DataFrame:
+    """Catalog rows with so many of their fields, the number of their source: the smallest record_no of all rows of one source, and their root's trust."""
     rows = read_table(spark, folder, "source_catalog").select(
-        "record_no", "observed_at", *RECORD_FIELDS,
+        "record_no", "observed_at", *dict.fromkeys(["root_id", *fields]),
         F.coalesce(canonical_uuid(F.col("source_id")), F.concat(F.lit("row "), F.col("record_no").cast("string"))).alias("source"),
         canonical_uuid(F.col("canonical_source_id")).alias("canonical"),
         doi_key(F.col("normalized_doi")).alias("doi"),
@@ -70,13 +70,14 @@ def _usable(field: str) -> Column:
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = _catalog_groups(spark, folder).filter("n_rows > 1")
-    return surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", {f: _usable(f) for f in ("normalized_doi", "byte_size", "legal_status")})
+    fields = ("normalized_doi", "byte_size", "legal_status")
+    rows = _catalog_groups(spark, folder, fields).filter("n_rows > 1")
+    return surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", {f: _usable(f) for f in fields})
 
 
 def p4_survivors(spark: SparkSession, folder: str) -> DataFrame:
     """One surviving record for each source, each field from the row that keeps it; null where no row has a usable value."""
-    rows = materialise(_catalog_groups(spark, folder), "numbered")
+    rows = materialise(_catalog_groups(spark, folder, RECORD_FIELDS), "numbered")
     kept = surviving_values(rows, "group_no", "record_no", "trust_rank", "observed_at", {f: _usable(f) for f in RECORD_FIELDS})
     # a row keeps as many fields as there are at most
     kept = kept.groupBy("group_no", "record_no").agg(F.collect_set("field_name").alias("fields"))

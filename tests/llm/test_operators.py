@@ -179,7 +179,7 @@ def test_neighbours_against_brute_force(spark):
     odd = [(5000, None), (5001, [0.0] * 16), (5002, [1.0] * 3), (5003, [float("nan")] * 16), (5004, [None] * 16)]
     df = spark.createDataFrame(rows + odd + rows[:3], "n long, e array<float>").withColumn("rep", F.lit(1)).withColumn("key", F.lit(2))
     got = defaultdict(dict)
-    for r in neighbours.most_similar(df, "n", "e", k=10, dim=16, probes=5, shard_rows=150).collect():
+    for r in neighbours.most_similar(df, "n", "e", k=10, dim=16, shard_rows=150).collect():
         got[r["idx"]][r["neighbour"]] = r["cosine"]
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     sims = unit @ unit.T
