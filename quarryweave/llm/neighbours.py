@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from quarryweave.plans import materialise
 
 #: Vectors a centre stands for, vectors one graph holds at most, queries searched together.
-SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 500, 16_000, 8_000
+SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 1_000, 16_000, 8_000
 #: Samples that centres and margin are fitted on: vectors, queries among them, vectors for each centre of the lower level.
 CENTRE_SAMPLE, MARGIN_QUERIES, CELL_SAMPLE = 16_384, 2_048, 32
 #: Centres from which on there are two levels, and how many there are at most (a broadcast of 64 MB at 64 numbers each);
-#: that is 131 million vectors, beyond them shards grow to GRAPH_ROWS (4 billion), then they are split.
+#: that is 262 million vectors, beyond them shards grow to GRAPH_ROWS (4 billion), then they are split.
 ONE_LEVEL, MOST_CENTRES = 512, 262_144
 #: Share of the sampled queries' true neighbours whose shards lie within the margin.
 WANTED_SHARE = 0.995
@@ -209,7 +209,7 @@ class Graph:
     def search(self, queries: np.ndarray, k: int, breadth: int = SEARCH_BREADTH) -> tuple[np.ndarray, np.ndarray]:
         """Places of about the ``k`` most similar vectors and their similarities; ``n`` where none."""
         n = len(self.vectors) - 1
-        breadth = int(breadth * (1 + max(0.0, math.log2(max(n, 1) / SHARD_ROWS)) / 2))  # larger graphs need a wider search
+        breadth = int(breadth * (1 + max(0.0, math.log2(max(n, 1) / 500)) / 2))  # larger graphs need a wider search
         places, values = [], []
         step = max(64, min(1024, 16_000_000 // (n + 1)))
         for a in range(0, len(queries), step):
