@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryweave.plans import materialise
@@ -35,12 +35,13 @@ def audit(nodes: DataFrame, edges: DataFrame, left: str, right: str) -> DataFram
     tagged = tagged.join(known.select(F.col("node").alias("l"), F.lit(True).alias("l_known")), "l", "left").join(known.select(F.col("node").alias("r"), F.lit(True).alias("r_known")), "r", "left")
     ok = F.col("l_known").isNotNull() & F.col("r_known").isNotNull()
     flag = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
-    of_edges = tagged.agg(F.count("*").alias("edge_rows"), flag(~ok).alias("edges_missing_end"), flag(F.coalesce(F.col("l") == F.col("r"), F.lit(False))).alias("self_loops"))
-    pairs = tagged.filter(F.col("l").isNotNull() & F.col("r").isNotNull()).groupBy(F.least("l", "r").alias("a"), F.greatest("l", "r").alias("b")).agg(F.count("*").alias("n"))
-    of_pairs = pairs.agg(F.count("*").alias("distinct_pairs"), F.sum(F.col("n") - 1).cast("long").alias("repeated_rows"))
+    missing = lambda c: flag(F.col(c).isNull())
+    of_edges = tagged.agg(F.count("*").alias("edge_rows"), missing("l_known").alias("missing_sources"), missing("r_known").alias("missing_targets"), flag(~ok).alias("edges_missing_end"), flag(ok & (F.col("l") == F.col("r"))).alias("self_loops"))
+    # pairs as they are directed; a null end is an end of its own
+    of_pairs = tagged.groupBy("l", "r").agg(F.count("*").alias("n")).agg(F.count("*").alias("distinct_pairs"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("repeated_rows"))
     of_nodes = nodes.agg(F.count("*").alias("entity_rows"), F.count_distinct("node").alias("entities"))
     deg = degrees(nodes, edges, left, right)
-    of_degrees = deg.agg(flag(F.col("degree") == 0).alias("isolated"), F.round(F.avg("degree"), 6).alias("mean_degree"), F.expr("percentile(degree, 0.5)").alias("median_degree"), F.expr("percentile(degree, 0.9)").alias("p90_degree"), F.max("degree").alias("max_degree"))
+    of_degrees = deg.agg(flag(F.col("degree") == 0).alias("isolated"), F.bround(F.avg("degree"), 6).alias("mean_degree"), F.expr("percentile(degree, 0.5)").alias("median_degree"), F.expr("percentile(degree, 0.9)").alias("p90_degree"), F.max("degree").alias("max_degree"))
     # five tables of one row each, put side by side on a constant key
     out = of_nodes.withColumn("k", F.lit(1))
     for part in (of_edges, of_pairs, of_degrees):
@@ -77,23 +78,29 @@ def components(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return every.join(resolved, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def pagerank(nodes: DataFrame, pairs: DataFrame, rounds: int = 15, damping: float = 0.85) -> DataFrame:
-    """``(node, rank)`` after a fixed number of rounds over undirected weighted pairs; lone nodes spread evenly."""
-    links = materialise(both_ways(pairs), "links")
-    total = nodes.select("node").distinct().count()
-    out = links.groupBy("node").agg(F.sum("weight").alias("out"))
-    moves = materialise(links.join(out, "node").select("node", "other", (F.col("weight") / F.col("out")).alias("part")), "moves")
-    lone = nodes.select("node").distinct().join(links.select("node").distinct(), "node", "left_anti")
-    n_lone = lone.count()
-    base = nodes.select("node").distinct()
-    rank = materialise(base.withColumn("rank", F.lit(1.0 / max(total, 1))), "rank")
-    lost = n_lone / max(total, 1) if total else 0.0
+def pagerank(nodes: DataFrame, edges: DataFrame, left: str, right: str, rounds: int = 15, damping: float = 0.85) -> DataFrame:
+    """``(node, rank)`` after a fixed number of rounds over directed edge rows, repeats counting each; the rank of nodes without a way out is spread evenly.
+
+    Rows with an end that is null or no node are left out.  Ranks add up to one.
+    """
+    base = materialise(nodes.select("node").distinct(), "nodes")
+    total = base.count()
+    if not total:
+        return base.select("node", F.lit(0.0).alias("rank"))
+    known = edges.select(F.col(left).alias("node"), F.col(right).alias("other")).join(base, "node", "left_semi").join(base.withColumnRenamed("node", "other"), "other", "left_semi")
+    weights = known.groupBy("node", "other").agg(F.count("*").alias("weight"))
+    out = known.groupBy("node").agg(F.count("*").alias("out"))
+    moves = materialise(weights.join(out, "node").select("node", "other", (F.col("weight") / F.col("out")).alias("part")), "moves")
+    begun = base.join(out, "node", "left").select("node", F.col("out").isNull().alias("stuck"), F.lit(1.0 / total).alias("rank"))
+    rank = materialise(begun, "rank")
     for _ in range(rounds):
-        came = moves.join(rank, "node").groupBy(F.col("other").alias("node")).agg(F.sum(F.col("rank") * F.col("part")).alias("came"))
-        rest = (1 - damping) / max(total, 1) + damping * lost / max(total, 1)
-        rank = materialise(base.join(came, "node", "left").select("node", (F.lit(rest) + F.lit(damping) * F.coalesce("came", F.lit(0.0))).alias("rank")), "rank")
-        lost = n_lone * rest
-    return rank
+        lost = rank.filter("stuck").agg(F.coalesce(F.sum("rank"), F.lit(0.0))).first()[0]
+        came = moves.join(rank.select("node", "rank"), "node").select(F.col("other").alias("node"), (F.col("rank") * F.col("part")).alias("came"), F.lit(None).cast("boolean").alias("stuck"))
+        # nodes and what comes to them meet in one exchange
+        met = came.unionByName(rank.select("node", F.lit(0.0).alias("came"), "stuck")).groupBy("node").agg(F.sum("came").alias("came"), F.max("stuck").alias("stuck"))
+        rest = (1 - damping + damping * lost) / total
+        rank = materialise(met.select("node", "stuck", (F.lit(rest) + F.lit(damping) * F.col("came")).alias("rank")), "rank")
+    return rank.select("node", "rank")
 
 
 def communities(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -136,6 +143,72 @@ def neighbourhood(pairs: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     return reached
 
 
+def bounded_neighbourhood(pairs: DataFrame, centres: DataFrame, hops: int, max_nodes: int = 64, max_edges: int = 128) -> tuple[DataFrame, DataFrame]:
+    """``nodes(centre, node, hop, at, truncated)`` and ``edges(centre, a, b, at, truncated)`` around each centre (``node``).
+
+    Nodes are visited in the order of the node they are reached from, then by name; once ``max_nodes``
+    are reached (the centre is one) the search ends and is marked truncated.  Edges are those between
+    reached nodes, in order of their ends, at most ``max_edges`` of them.  A centre without links is alone.
+    """
+    links = both_ways(pairs).select("node", "other").distinct()
+    reached = centres.select(F.col("node").alias("centre"), "node").distinct().withColumn("hop", F.lit(0)).withColumn("at", F.lit(0)).withColumn("truncated", F.lit(False))
+    for hop in range(1, hops + 1):
+        # from the last hop's nodes, unless the search around the centre has ended
+        edge = reached.filter((F.col("hop") == hop - 1) & ~F.col("truncated")).join(links, "node").groupBy("centre", F.col("other").alias("node")).agg(F.min("at").alias("reached_from"))
+        seen = reached.groupBy("centre").agg(F.count("*").alias("n"))
+        fresh = edge.join(reached.select("centre", "node"), ["centre", "node"], "left_anti").join(seen, "centre")
+        order = Window.partitionBy("centre").orderBy("reached_from", "node")
+        placed = fresh.withColumn("place", F.row_number().over(order)).filter(F.col("place") + F.col("n") <= max_nodes + 1)
+        placed = placed.withColumn("at", (F.col("place") + F.col("n") - 1).cast("int"))
+        # one node over the limit tells that there are more; it is taken off again
+        over = placed.filter(F.col("at") >= max_nodes).select("centre", F.lit(True).alias("cut"))
+        kept = placed.filter(F.col("at") < max_nodes).select("centre", "node", F.lit(hop).alias("hop"), "at", F.lit(False).alias("truncated"))
+        reached = reached.unionByName(kept).join(over, "centre", "left").select("centre", "node", "hop", "at", (F.col("truncated") | F.col("cut").isNotNull()).alias("truncated"))
+        reached = materialise(reached, "reached")
+    inside = reached.select("centre", F.col("node").alias("a")).join(pairs.select("a", "b").distinct(), "a").join(reached.select("centre", F.col("node").alias("b")), ["centre", "b"])
+    numbered = inside.withColumn("at", F.row_number().over(Window.partitionBy("centre").orderBy("a", "b"))).filter(F.col("at") <= max_edges + 1)
+    more = numbered.filter(F.col("at") > max_edges).select("centre", F.lit(True).alias("cut"))
+    edges = numbered.filter(F.col("at") <= max_edges).join(more, "centre", "left").select("centre", "a", "b", "at", F.col("cut").isNotNull().alias("truncated"))
+    return reached, edges
+
+
+def modularity(pairs: DataFrame, groups: DataFrame, node: str, group: str, resolution: float = 1.0) -> DataFrame:
+    """One row: how much more weight lies inside groups than the degrees of their nodes let expect, from -0.5 to 1."""
+    of = groups.select(F.col(node).alias("node"), F.col(group).alias("g"))
+    tagged = pairs.join(of.select(F.col("node").alias("a"), F.col("g").alias("ga")), "a").join(of.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b")
+    ends = tagged.select("weight", (F.col("ga") == F.col("gb")).alias("inner"), F.explode(F.array("ga", "gb")).alias("g"))
+    sums = ends.groupBy("g").agg(F.sum("weight").alias("degree"), F.sum(F.when(F.col("inner"), F.col("weight")).otherwise(0)).alias("inside"))
+    whole = sums.agg(F.sum("degree").alias("whole"), F.sum("inside").alias("inside"), F.sum(F.col("degree").cast("double") * F.col("degree")).alias("squares"), F.count("*").alias("groups"))
+    return whole.select("groups", (F.col("inside") / F.col("whole") - F.lit(resolution) * F.col("squares") / (F.col("whole").cast("double") * F.col("whole"))).alias("modularity"))
+
+
+def attach_small(pairs: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """``(node, community)``: nodes of groups below a size go to the large group that their group shares most weight with.
+
+    Of equal weights the smaller name wins; a small group that touches no large one stays as it is.
+    """
+    sizes = groups.groupBy("community").agg(F.count("*").alias("size"))
+    named = materialise(groups.join(sizes, "community").select("node", "community", (F.col("size") >= least).alias("large")), "sized")
+    end = lambda n: named.select(F.col("node").alias(n), F.col("community").alias(f"c_{n}"), F.col("large").alias(f"l_{n}"))
+    tagged = pairs.join(end("a"), "a").join(end("b"), "b").filter("l_a <> l_b")
+    cross = tagged.select(F.when(F.col("l_a"), F.col("c_b")).otherwise(F.col("c_a")).alias("community"), F.when(F.col("l_a"), F.col("c_a")).otherwise(F.col("c_b")).alias("major"), "weight")
+    best = cross.groupBy("community", "major").agg(F.sum("weight").alias("weight")).groupBy("community").agg(F.min(F.struct((-F.col("weight")).alias("w"), "major")).alias("b"))
+    moved = named.filter("not large").join(best, "community", "left").select("node", F.coalesce("b.major", "community").alias("community"))
+    return named.filter("large").select("node", "community").unionByName(moved)
+
+
+def ordered_groups(groups: DataFrame) -> DataFrame:
+    """``(node, community, number)``: groups numbered from 0 by falling size, then by their smallest node."""
+    sizes = groups.groupBy("community").agg(F.count("*").alias("size"), F.min("node").alias("first"))
+    ranked = sizes.repartitionByRange(F.desc("size"), "first")
+    # numbers over a range partitioning: groups of the parts before, then within the part
+    ranked = materialise(ranked.withColumn("part", F.spark_partition_id()), "ranked")
+    before = ranked.groupBy("part").agg(F.count("*").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("size"), "first"))
+    numbered = ranked.withColumn("place", place).join(before, "part").select("community", (F.col("place") - 1 + F.col("offset")).cast("long").alias("number"))
+    return groups.join(numbered, "community").select("node", "community", "number")
+
+
 def damped_degrees(pairs: DataFrame, threshold: int = 120, exponent: float = 0.55) -> DataFrame:
     """``(node, degree, weighted_degree)``: weights of links to hubs over the threshold shrink by a power of the excess."""
     links = both_ways(pairs)

@@ -47,7 +47,7 @@ def brute(customers, parts, lines):
         near[a].add(b), near[b].add(a)
         degree.update((a, b))
     values, out = list(degree.values()), {}
-    out["graph_audit"] = [(len(kind), len(kind), len(edges), 0, 0, len(pairs), len(edges) - len(pairs), values.count(0), round(sum(values) / len(values), 6), point(values, 0.5), point(values, 0.9), max(values))]
+    out["graph_audit"] = [(len(kind), len(kind), len(edges), 0, 0, 0, 0, len(pairs), len(edges) - len(pairs), values.count(0), round(sum(values) / len(values), 6), point(values, 0.5), point(values, 0.9), max(values))]
     out["graph_degree_percentiles"] = [tuple(point(values, p) for p in (0.5, 0.9, 0.99, 0.999))]
     out["graph_top_hubs"] = sorted((n, degree[n], name[n]) for n in sorted(degree, key=lambda n: (-degree[n], name[n], n))[:20])
     kinds = Counter((kind[a], kind[b]) for a, b, _ in edges)
@@ -72,10 +72,11 @@ def brute(customers, parts, lines):
             held = satellites[min(count, key=lambda k: (-count[k], k))]
             held[0], held[1] = held[0] + 1, held[1] + size
     out["graph_satellites"] = sorted((k, *v) for k, v in satellites.items())
-    rank, weight = {n: 1 / len(kind) for n in kind}, lambda n, o: pairs[(n, o) if n[0] == "c" else (o, n)]
+    weight = lambda n, o: pairs[(n, o) if n[0] == "c" else (o, n)]
+    rank, out_of = {n: 1 / len(kind) for n in kind}, Counter(a for a, _, _ in edges)
     for _ in range(10):
-        lost = sum(rank[n] for n in kind if not near[n])
-        rank = {n: (0.15 + 0.85 * lost) / len(kind) + 0.85 * sum(rank[o] * weight(o, n) / degree[o] for o in near[n]) for n in kind}
+        lost = sum(rank[n] for n in kind if not out_of[n])
+        rank = {n: (0.15 + 0.85 * lost) / len(kind) + 0.85 * sum(rank[o] * pairs[o, n] / out_of[o] for o in near[n] if (o, n) in pairs) for n in kind}
     out["graph_pagerank"] = sorted(rank.items())
     out["graph_layout_edges"] = sorted((a, b, w) for (a, b), w in amount.items())
     shrink = lambda n, o: (120 / max(120, len(near[n]), len(near[o]))) ** 0.55
@@ -87,11 +88,25 @@ def brute(customers, parts, lines):
     logs = {n: math.log1p(w) for n, w in held.items()}
     low, high = point(logs.values(), 0.05), point(logs.values(), 0.995)
     out["graph_rank_scale"] = sorted((n, max(0.0, min(1.0, (x - low) / (high - low)))) for n, x in logs.items())
-    hop = {f"p{p[0]}": 0 for p in parts if p[3] == 50}
-    for k in (1, 2):
-        for n in {o for n in hop for o in near[n]} - set(hop):
-            hop[n] = k
-        out[f"graph_neighbourhood_{k}"] = sorted(hop.items())
+    for hops in (1, 2):
+        rows = []
+        for centre in (f"p{p[0]}" for p in parts if p[3] == 50):
+            order, edge, cut = {centre: 0}, [centre], False
+            for hop in range(1, hops + 1):
+                edge, last = [], edge
+                for n in last:
+                    for o in sorted(near[n]):
+                        if o not in order and not cut:
+                            if len(order) >= graphs.MAX_NODES:
+                                cut = True
+                            else:
+                                order[o] = hop
+                                edge.append(o)
+                if cut:
+                    break
+            inner = sum(a in order and b in order for a, b in pairs)
+            rows += [(centre, n, hop, at, cut, min(inner, graphs.MAX_EDGES), inner > graphs.MAX_EDGES) for at, (n, hop) in enumerate(order.items())]
+        out[f"graph_neighbourhood_{hops}"] = sorted(rows)
     nation, of = {f"c{c[0]}": c[2] for c in customers}, Counter()
     for (a, b), w in amount.items():
         of[nation[a], b] += w
@@ -107,7 +122,7 @@ def wanted(tables):
 
 @pytest.mark.parametrize("name", NAMES)
 def test_all_lines_count(spark, tables, wanted, name):
-    got = rows_of(graphs.QUERIES[f"{name}_all_lines"](spark, tables[0]))
+    got = rows_of(graphs.QUERIES[name](spark, tables[0]))
     assert len(got) == len(wanted[name])
     for row, want in zip(got, wanted[name], strict=True):
         for x, y in zip(row, want, strict=True):

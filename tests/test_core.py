@@ -89,7 +89,7 @@ def test_graph_against_brute_force(spark):
             degree[b] += 1
     assert dict(map(tuple, graph.degrees(nodes, edges, "l", "r").collect())) == degree
     one = graph.audit(nodes, edges, "l", "r").first()
-    assert one["entities"] == 40 and one["self_loops"] == sum(a == b for a, b in rows) and one["isolated"] == sum(d == 0 for d in degree.values())
+    assert one["entities"] == 40 and one["self_loops"] == sum(a == b and a in known for a, b in rows) and one["distinct_pairs"] == len(set(rows)) and one["repeated_rows"] == len(rows) - len(set(rows)) and one["isolated"] == sum(d == 0 for d in degree.values())
     pairs = graph.undirected(edges.filter("r is not null and r <> 'lost'"), "l", "r")
     label = {n: n for n in names}
     for _ in names:
@@ -97,7 +97,7 @@ def test_graph_against_brute_force(spark):
             if a in known and b in known:
                 label[a] = label[b] = min(label[a], label[b])
     assert dict(map(tuple, graph.components(nodes, pairs).collect())) == label
-    ranks = graph.pagerank(nodes, pairs, rounds=12)
+    ranks = graph.pagerank(nodes, edges, "l", "r", rounds=12)
     assert ranks.agg(F.sum("rank")).first()[0] == pytest.approx(1.0)
     groups = dict(map(tuple, graph.communities(nodes, pairs).collect()))
     assert set(groups) == known and all(label[groups[n]] == label[n] for n in names)
@@ -110,7 +110,7 @@ def test_graph_against_brute_force(spark):
 
 def test_graph_of_nothing(spark):
     nodes, pairs = spark.createDataFrame([], "node string"), spark.createDataFrame([], "a string, b string, weight long")
-    assert graph.components(nodes, pairs).count() == 0 and graph.pagerank(nodes, pairs, rounds=2).count() == 0
+    assert graph.components(nodes, pairs).count() == 0 and graph.pagerank(nodes, pairs, "a", "b", rounds=2).count() == 0
 
 
 def test_catalog(spark):
