@@ -39,6 +39,34 @@ def normal_name_udf(values: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+#: Marks that are no part of an entity's name at either end (fixed values).
+NAME_EDGES = " \t\r\n\"'“”‘’`"
+
+_PLAIN_NAME = re.compile(r"[!#-&(-_a-~]+(?: [!#-&(-_a-~]+)*")
+
+
+def entity_key(name: str | None) -> str | None:
+    """One key for every way an entity's name is written: NFKC, single spaces, no quotes at the ends, case folded; null stays null."""
+    if name is None:
+        return None
+    if _PLAIN_NAME.fullmatch(name):
+        return name.lower()
+    return " ".join(unicodedata.normalize("NFKC", name).replace("\0", " ").split()).strip(NAME_EDGES).casefold()
+
+
+@F.pandas_udf(T.StringType())
+def entity_key_udf(names: pd.Series) -> pd.Series:
+    codes, distinct = pd.factorize(names, use_na_sentinel=True)
+    keys = pd.Series([entity_key(x) for x in distinct], dtype=object).reindex(codes)
+    return keys.where(codes >= 0, None).reset_index(drop=True)
+
+
+@F.pandas_udf(T.StringType())
+def letters_udf(texts: pd.Series) -> pd.Series:
+    """NFKC, case folded, letters and digits only: in this form a name is looked for in a text."""
+    return texts.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKC", x).casefold() if c.isalnum()))
+
+
 def canonical_uuid(value: Column) -> Column:
     """36 lower-case characters from any spelling that holds 32 hex digits, else the trimmed lower-case text.
 

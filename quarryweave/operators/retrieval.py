@@ -24,6 +24,12 @@ def lexical_scores(docs: DataFrame, doc: str, text: str, asked: DataFrame, query
     return of_doc.join(of_query, "word").groupBy(query, doc).agg(F.sum(F.col("q") * F.col("d")).alias("score"))
 
 
+def lexical_counts(docs: DataFrame, doc: str, words: str, asked: DataFrame) -> DataFrame:
+    """``(doc, score)``: the same of word arrays and one query ``asked(word, q)``."""
+    of_doc = docs.select(doc, F.explode(words).alias("word")).join(asked, "word")
+    return of_doc.groupBy(doc).agg(F.sum("q").alias("score"))
+
+
 def top_ranked(scores: DataFrame, group: str, item: str, score: str, k: int) -> DataFrame:
     """``(group, item, score, rank)`` of the ``k`` best items, equal scores by item."""
     window = Window.partitionBy(group).orderBy(F.desc(score), F.asc(item))

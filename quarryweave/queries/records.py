@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryweave.functions.dois import CLOSING, PLACEHOLDER_SUFFIXES, doi_key
+from quarryweave.functions.keys import NAME_EDGES, entity_key_udf
 from quarryweave.operators import catalog as C
 from quarryweave.operators import knowledge as K
+from quarryweave.operators import lookup as L
 from quarryweave.operators import retrieval as R
 from quarryweave.operators import texts as X
 from quarryweave.plans import materialise, read_table
@@ -17,7 +19,13 @@ FIELDS = ["display_title", "directory_year", "normalized_doi", "byte_size", "sha
 _FULL = " + ".join(f"CASE WHEN trim(CAST({f} AS VARCHAR)) <> '' THEN 1 ELSE 0 END" for f in FIELDS)
 _DOI = r"regexp_extract(lower(replace(regexp_replace(translate(normalized_doi, '１', '1'), '\s+', '', 'g'), '%2F', '/')), '(10\.[0-9]{4,9}(?:\.[0-9]+)*/[^<>]+)', 1)"
 _DOI = rf"(SELECT CASE WHEN d = '' OR regexp_extract(d, '^[^/]*/(.*)$', 1) IN ({', '.join(repr(s) for s in PLACEHOLDER_SUFFIXES)}) OR regexp_matches(regexp_extract(d, '^[^/]*/(.*)$', 1), '^(x+|0+|[-_.]+)$') THEN NULL ELSE d END FROM (SELECT regexp_replace(regexp_replace({_DOI}, '[.,;:!?]+$', ''), '{CLOSING.replace("'", "''")}', '\1') AS d))"
-_KEY = "lower(trim({}))"
+_WIDE, _NARROW = ("".join(chr(x + i) for i in range(94)) for x in (0xFF01, 0x21))
+_KEY = "replace(lower(trim(trim(regexp_replace(translate({}, '" + _WIDE + "', '" + _NARROW.replace("'", "''") + "'), '[\\s\u3000\u00A0]+', ' ', 'g')), '" + NAME_EDGES.replace("'", "''") + "')), 'ß', 'ss')"
+
+
+def _sql_key(c: str) -> str:
+    """SQL of an entity's key for what the tables hold."""
+    return _KEY.replace("{}", c)
 
 
 def _catalog(spark, folder) -> DataFrame:
@@ -25,7 +33,7 @@ def _catalog(spark, folder) -> DataFrame:
 
 
 def _key(c: str):
-    return F.lower(F.trim(F.col(c)))
+    return entity_key_udf(F.col(c))
 
 
 def catalog_canonical(spark, folder):
@@ -138,11 +146,18 @@ def node_search(spark, folder):
 
 
 def node_resolve(spark, folder):
-    """Names that stand for several entity ids."""
-    rows = read_table(spark, folder, "custom_kg_entities").groupBy(_key("entity_name").alias("name")).agg(F.count_distinct("entity_id").alias("ids"))
-    return rows.filter("ids > 1")
+    """The ids that fragments support and the names that relationships start from, looked up among the entities."""
+    nodes = read_table(spark, folder, "custom_kg_entities").select(F.col("entity_id").alias("node"), F.col("entity_name").alias("label"))
+    ids = read_table(spark, folder, "evidence_fragments").select(F.lit("id").alias("kind"), F.explode("supported_entity_ids").alias("value"))
+    names = read_table(spark, folder, "custom_kg_relationships").select(F.lit("label").alias("kind"), F.col("src_id").alias("value"))
+    return L.resolve_nodes(nodes, ids.unionByName(names))
 
 
+def node_search_typed(spark, folder):
+    """Processes whose name contains a text: one page, and whether there is more."""
+    rows = read_table(spark, folder, "custom_kg_entities")
+    return L.search_nodes(rows, "entity_name", "entity_no", "of", "contains", kind=("entity_type", "Process"), limit=50).select("entity_no", "entity_name", "more")
+
 
 def _lexical(spark, folder, k=50):
     asked = spark.createDataFrame([("conductivity", "thermal conductivity of polymer composite"), ("strength", "tensile strength of steel wire after annealing"), ("porosity", "porosity and density of ceramic coating")], "query string, words string")
@@ -277,15 +292,16 @@ ORACLE_SQL = {
     "fragments_per_source": "SELECT source_id, count(*) AS fragments, count(DISTINCT fragment_id) AS distinct_fragments, max(created_at) AS last_created FROM evidence_fragments GROUP BY 1",
     "provenance_chain": "WITH a AS (SELECT source_id AS id, 'b' AS k FROM mineru_blocks UNION SELECT source_id, 'f' FROM evidence_fragments UNION SELECT source_id, 't' FROM textbook_sources UNION SELECT source_id, 'c' FROM source_catalog), g AS (SELECT id, bool_or(k = 'b') AS in_blocks, bool_or(k = 'f') AS in_fragments, bool_or(k = 't') AS in_textbooks, bool_or(k = 'c') AS in_catalog FROM a WHERE id IS NOT NULL GROUP BY 1) SELECT in_blocks, in_fragments, in_textbooks, in_catalog, count(*) AS sources FROM g GROUP BY ALL",
     "first_write_wins": "SELECT fragment_id, min(fragment_no) AS kept, count(*) AS rows, count(DISTINCT coalesce(content_sha256, '')) AS contents FROM evidence_fragments GROUP BY 1 HAVING count(*) > 1",
-    "kg_entities": f"WITH r AS (SELECT *, {_KEY.format('entity_name')} AS entity_key FROM custom_kg_entities WHERE entity_name IS NOT NULL), m AS (SELECT entity_key, count(*) AS mentions FROM r GROUP BY 1), nm AS (SELECT entity_key, entity_name AS display_name FROM r GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, length(entity_name) DESC, entity_name) = 1), ty AS (SELECT entity_key, entity_type FROM r WHERE entity_type IS NOT NULL GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, length(entity_type) DESC, entity_type) = 1), dr AS (SELECT entity_key, description, row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, length(description) DESC, description) AS k FROM r WHERE trim(description) <> '' GROUP BY 1, 2), de AS (SELECT entity_key, substr(string_agg(description, '；' ORDER BY k), 1, 2000) AS description FROM dr WHERE k <= 3 GROUP BY 1), sr AS (SELECT entity_key, source_id, row_number() OVER (PARTITION BY entity_key ORDER BY min(entity_no), source_id) AS k FROM r WHERE source_id IS NOT NULL GROUP BY 1, 2), so AS (SELECT entity_key, string_agg(source_id, ',' ORDER BY k) AS sources FROM sr WHERE k <= 32 GROUP BY 1) SELECT entity_key, mentions, display_name, entity_type, description, sources FROM m LEFT JOIN nm USING (entity_key) LEFT JOIN ty USING (entity_key) LEFT JOIN de USING (entity_key) LEFT JOIN so USING (entity_key)",
-    "kg_relationships": f"WITH r AS (SELECT {_KEY.format('src_id')} AS l, {_KEY.format('tgt_id')} AS r, description FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL) SELECT least(l, r) AS source_key, greatest(l, r) AS target_key, count(*) AS mentions, count(DISTINCT description) AS descriptions, round(1 + ln(1 + count(*)), 6) AS weight FROM r WHERE l <> r GROUP BY 1, 2",
-    "kg_missing_ends": f"WITH n AS (SELECT {_KEY.format('entity_name')} AS name, min(entity_type) AS kind FROM custom_kg_entities WHERE entity_name IS NOT NULL GROUP BY 1) SELECT coalesce(a.kind, 'MissingEntity') AS source_type, coalesce(b.kind, 'MissingEntity') AS target_type, count(*) AS edges FROM custom_kg_relationships LEFT JOIN n a ON a.name = {_KEY.format('src_id')} LEFT JOIN n b ON b.name = {_KEY.format('tgt_id')} GROUP BY 1, 2",
+    "kg_entities": f"WITH r AS (SELECT *, {_sql_key('entity_name')} AS entity_key FROM custom_kg_entities WHERE entity_name IS NOT NULL), m AS (SELECT entity_key, count(*) AS mentions FROM r GROUP BY 1), nm AS (SELECT entity_key, entity_name AS display_name FROM r GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, length(entity_name) DESC, lower(replace(entity_name, 'ß', 'ss')), entity_name) = 1), ty AS (SELECT entity_key, entity_type FROM r WHERE entity_type IS NOT NULL GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, coalesce(list_position({K.TYPE_PRIORITY}, entity_type), 15), entity_type) = 1), dr AS (SELECT entity_key, description, row_number() OVER (PARTITION BY entity_key ORDER BY count(*) DESC, length(description) DESC, lower(replace(description, 'ß', 'ss')), description) AS k FROM r WHERE trim(description) <> '' GROUP BY 1, 2), de AS (SELECT entity_key, substr(string_agg(description, '；' ORDER BY k), 1, 2000) AS description FROM dr WHERE k <= 3 GROUP BY 1), sr AS (SELECT entity_key, source_id, row_number() OVER (PARTITION BY entity_key ORDER BY min(entity_no), source_id) AS k FROM r WHERE source_id IS NOT NULL GROUP BY 1, 2), so AS (SELECT entity_key, string_agg(source_id, ',' ORDER BY k) AS sources FROM sr WHERE k <= 32 GROUP BY 1) SELECT entity_key, mentions, display_name, entity_type, description, sources FROM m LEFT JOIN nm USING (entity_key) LEFT JOIN ty USING (entity_key) LEFT JOIN de USING (entity_key) LEFT JOIN so USING (entity_key)",
+    "kg_relationships": f"WITH r AS (SELECT {_sql_key('src_id')} AS l, {_sql_key('tgt_id')} AS r, description FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL) SELECT least(l, r) AS source_key, greatest(l, r) AS target_key, count(*) AS mentions, count(DISTINCT description) AS descriptions, round_even(1 + ln(1 + count(*)), 6) AS weight FROM r WHERE l <> r GROUP BY 1, 2",
+    "kg_missing_ends": f"WITH n AS (SELECT {_sql_key('entity_name')} AS name, min(entity_type) AS kind FROM custom_kg_entities WHERE entity_name IS NOT NULL GROUP BY 1) SELECT coalesce(a.kind, 'MissingEntity') AS source_type, coalesce(b.kind, 'MissingEntity') AS target_type, count(*) AS edges FROM custom_kg_relationships LEFT JOIN n a ON a.name = {_sql_key('src_id')} LEFT JOIN n b ON b.name = {_sql_key('tgt_id')} GROUP BY 1, 2",
     "kg_alias_merge": "SELECT entity_id, coalesce(array_to_string(list_sort(list(DISTINCT entity_name) FILTER (entity_name IS NOT NULL)), '|'), '') AS aliases, CAST((count(DISTINCT entity_type) > 1) AS INT) + CAST((count(DISTINCT description) > 1) AS INT) AS drifts FROM custom_kg_entities GROUP BY 1",
     "kg_pair_ids": "SELECT rel_no, md5(least(src_id, tgt_id) || greatest(src_id, tgt_id)) AS pair_id, md5(greatest(src_id, tgt_id) || least(src_id, tgt_id)) AS reverse_id FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL",
     "kg_pair_collisions": "WITH r AS (SELECT substr(n_name, 1, 1) AS s, substr(n_name, 2, 20) AS t FROM nation UNION ALL SELECT substr(n_name, 1, 2), substr(n_name, 3, 20) FROM nation), p AS (SELECT DISTINCT least(s, t) AS source_key, greatest(s, t) AS target_key, md5(least(s, t) || greatest(s, t)) AS pair, md5(greatest(s, t) || least(s, t)) AS rev FROM r) SELECT source_key, target_key, pair, count(*) OVER (PARTITION BY pair) > 1 AS concat_collision, pair IN (SELECT rev FROM p WHERE rev <> pair) AS reverse_collision FROM p QUALIFY concat_collision OR reverse_collision",
     "kg_relationship_collisions": "WITH p AS (SELECT DISTINCT least(src_id, tgt_id) AS source_key, greatest(src_id, tgt_id) AS target_key, md5(least(src_id, tgt_id) || greatest(src_id, tgt_id)) AS pair, md5(greatest(src_id, tgt_id) || least(src_id, tgt_id)) AS rev FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL) SELECT source_key, target_key, pair, count(*) OVER (PARTITION BY pair) > 1 AS concat_collision, pair IN (SELECT rev FROM p WHERE rev <> pair) AS reverse_collision FROM p QUALIFY concat_collision OR reverse_collision",
     "node_search": "SELECT entity_no, entity_name FROM custom_kg_entities WHERE entity_name ILIKE '%composite%' ORDER BY lower(entity_name), entity_no LIMIT 51",
-    "node_resolve": f"SELECT {_KEY.format('entity_name')} AS name, count(DISTINCT entity_id) AS ids FROM custom_kg_entities GROUP BY 1 HAVING count(DISTINCT entity_id) > 1",
+    "node_resolve": "WITH a AS (SELECT DISTINCT * FROM (SELECT 'id' AS kind, unnest(supported_entity_ids) AS value FROM evidence_fragments UNION ALL SELECT 'label', src_id FROM custom_kg_relationships) WHERE value IS NOT NULL), n AS (SELECT DISTINCT entity_id, entity_name FROM custom_kg_entities), m AS (SELECT kind, value, count(DISTINCT entity_id) AS matches, min(entity_id) AS node FROM a LEFT JOIN (SELECT 'id' AS kind, entity_id AS value, entity_id FROM n UNION ALL SELECT 'label', entity_name, entity_id FROM n) USING (kind, value) GROUP BY 1, 2) SELECT kind, value, CASE WHEN matches = 0 THEN 'unresolved' WHEN matches = 1 THEN 'match' ELSE 'ambiguous' END AS status, CASE WHEN matches = 1 THEN node END AS node FROM m",
+    "node_search_typed": "SELECT entity_no, entity_name, n > 50 AS more FROM (SELECT *, count(*) OVER () AS n FROM custom_kg_entities WHERE entity_name ILIKE '%of%' AND entity_type = 'Process') ORDER BY lower(entity_name), entity_no LIMIT 50",
     "lexical_rank": f"WITH {_LEX} SELECT query, doc_id, score, rank FROM lx",
     "rrf_fusion": f"WITH {_FUSE} SELECT query, doc_id, fused FROM fu",
     "budget_select": f"WITH RECURSIVE {_FUSE}, rk AS (SELECT query, doc_id, n_chars AS cost, CAST(row_number() OVER (PARTITION BY query ORDER BY fused DESC, doc_id) AS INT) AS rank FROM fu JOIN documents USING (doc_id) QUALIFY rank <= 50), walk AS (SELECT query, 0 AS rank, CAST(0 AS BIGINT) AS doc_id, CAST(0 AS BIGINT) AS cost, 0 AS n, CAST(0 AS BIGINT) AS used, false AS selected FROM (SELECT DISTINCT query FROM rk) UNION ALL SELECT rk.query, rk.rank, rk.doc_id, rk.cost, n + CAST(n < 20 AND used + rk.cost <= 20000 AS INT), used + CASE WHEN n < 20 AND used + rk.cost <= 20000 THEN rk.cost ELSE 0 END, n < 20 AND used + rk.cost <= 20000 FROM walk JOIN rk ON rk.query = walk.query AND rk.rank = walk.rank + 1) SELECT query, doc_id, rank, cost, selected FROM walk WHERE rank > 0",
@@ -302,4 +318,4 @@ ORACLE_SQL = {
     "event_quota_windows": "SELECT user_id AS scope, date_trunc('hour', ts) AS window_start, count(*) AS requests, round(sum(value), 4) AS amount FROM events GROUP BY 1, 2",
     "event_streaks": "WITH o AS (SELECT *, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM o), n AS (SELECT user_id, event_type, run, count(*) AS n FROM r GROUP BY 1, 2, 3) SELECT user_id, event_type, max(n) AS longest FROM n GROUP BY 1, 2",
 }
-QUERIES = {f.__name__: f for f in (catalog_canonical, catalog_doi, catalog_versions, catalog_merged, catalog_ids, catalog_stats, corpus_inventory, corpus_duplicates, title_groups, fragments_per_source, provenance_chain, first_write_wins, kg_entities, kg_relationships, kg_missing_ends, kg_alias_merge, kg_pair_ids, kg_pair_collisions, kg_relationship_collisions, node_search, node_resolve, lexical_rank, rrf_fusion, budget_select, cosine_topk, vector_dedupe, vector_norms, vector_audit, embedding_text, sentence_counts, token_counts_by_language, chunk_documents, evidence_scores, evidence_retained, section_forward, event_quota_windows, event_streaks)}
+QUERIES = {f.__name__: f for f in (catalog_canonical, catalog_doi, catalog_versions, catalog_merged, catalog_ids, catalog_stats, corpus_inventory, corpus_duplicates, title_groups, fragments_per_source, provenance_chain, first_write_wins, kg_entities, kg_relationships, kg_missing_ends, kg_alias_merge, kg_pair_ids, kg_pair_collisions, kg_relationship_collisions, node_search, node_search_typed, node_resolve, lexical_rank, rrf_fusion, budget_select, cosine_topk, vector_dedupe, vector_norms, vector_audit, embedding_text, sentence_counts, token_counts_by_language, chunk_documents, evidence_scores, evidence_retained, section_forward, event_quota_windows, event_streaks)}

@@ -14,9 +14,9 @@ def _cell(v):
 
 
 def _names():
-    from quarryweave.queries import graphs, projections, records, references
+    from quarryweave.queries import corpus, graphs, projections, records, references
 
-    return [(m, n) for m in (graphs, projections, records, references) for n in m.QUERIES]
+    return [(m, n) for m in (corpus, graphs, projections, records, references) for n in m.QUERIES]
 
 
 def compare(spark, module, name):
