@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The name space of names that are URLs, as sixteen bytes (fixed value of RFC 4122).
@@ -24,14 +24,15 @@ def version_key(*parts: Column) -> Column:
 
 def merge_preferred(rows: DataFrame, keys: list[str], order: list[Column], fields: list[str], weak: dict[str, list[str]] | None = None) -> DataFrame:
     """One row for each key: of every field the last value in ``order`` that is neither null, blank nor weak; else the last weak one."""
-    window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.struct(*order)
     picked = []
     for f in fields:
         text = F.trim(F.col(f).cast("string"))
-        solid = F.when((text != "") & ~F.lower(text).isin(*((weak or {}).get(f) or ["\x00"])), F.col(f))
-        filled = F.when(text != "", F.col(f))
-        picked.append(F.coalesce(F.last(solid, ignorenulls=True).over(window), F.last(filled, ignorenulls=True).over(window)).alias(f))
-    return rows.select(*keys, *picked).distinct()
+        solid = (text != "") & ~F.lower(text).isin(*((weak or {}).get(f) or ["\x00"]))
+        # of the rows with a value, one that is not weak, then the last one
+        rank = F.when(text != "", F.struct(F.when(solid, 1).otherwise(0).alias("s"), place.alias("p")))
+        picked.append(F.max_by(F.col(f), rank).alias(f))
+    return rows.groupBy(*keys).agg(*picked)
 
 
 def completeness(fields: list[str]) -> Column:

@@ -70,8 +70,9 @@ def corpus_inventory(spark, folder):
 
 def corpus_duplicates(spark, folder):
     rows = read_table(spark, folder, "textbook_sources").select("scan_no", "content_sha256", "source_family", F.lower("relative_path").alias("path"))
-    first = F.first("scan_no").over(Window.partitionBy("content_sha256").orderBy("source_family", "path", "scan_no"))
-    return rows.filter("content_sha256 is not null").withColumn("kept", first).filter("scan_no <> kept").select("scan_no", "kept")
+    rows = rows.filter("content_sha256 is not null")
+    kept = rows.groupBy("content_sha256").agg(F.min(F.struct("source_family", "path", "scan_no")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    return rows.join(kept.select("content_sha256", F.col("first.scan_no").alias("kept")), "content_sha256").filter("scan_no <> kept").select("scan_no", "kept")
 
 
 def title_groups(spark, folder):
@@ -129,13 +130,7 @@ def kg_pair_ids(spark, folder):
 
 
 def kg_pair_collisions(spark, folder):
-    names = read_table(spark, folder, "nation").select(F.substring("n_name", 1, 1).alias("src_id"), F.substring("n_name", 2, 20).alias("tgt_id"))
-    more = read_table(spark, folder, "nation").select(F.substring("n_name", 1, 2).alias("src_id"), F.substring("n_name", 3, 20).alias("tgt_id"))
-    return K.pair_collisions(names.unionByName(more), "src_id", "tgt_id")
-
-
-def kg_relationship_collisions(spark, folder):
-    """Pairs of the whole relationship table whose ids collide; the made-up names above show what a collision is."""
+    """Pairs of the whole relationship table whose joined names collide."""
     return K.pair_collisions(read_table(spark, folder, "custom_kg_relationships"), "src_id", "tgt_id")
 
 
@@ -297,8 +292,7 @@ ORACLE_SQL = {
     "kg_missing_ends": f"WITH n AS (SELECT {_sql_key('entity_name')} AS name, min(entity_type) AS kind FROM custom_kg_entities WHERE entity_name IS NOT NULL GROUP BY 1) SELECT coalesce(a.kind, 'MissingEntity') AS source_type, coalesce(b.kind, 'MissingEntity') AS target_type, count(*) AS edges FROM custom_kg_relationships LEFT JOIN n a ON a.name = {_sql_key('src_id')} LEFT JOIN n b ON b.name = {_sql_key('tgt_id')} GROUP BY 1, 2",
     "kg_alias_merge": "SELECT entity_id, coalesce(array_to_string(list_sort(list(DISTINCT entity_name) FILTER (entity_name IS NOT NULL)), '|'), '') AS aliases, CAST((count(DISTINCT entity_type) > 1) AS INT) + CAST((count(DISTINCT description) > 1) AS INT) AS drifts FROM custom_kg_entities GROUP BY 1",
     "kg_pair_ids": "SELECT rel_no, md5(least(src_id, tgt_id) || greatest(src_id, tgt_id)) AS pair_id, md5(greatest(src_id, tgt_id) || least(src_id, tgt_id)) AS reverse_id FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL",
-    "kg_pair_collisions": "WITH r AS (SELECT substr(n_name, 1, 1) AS s, substr(n_name, 2, 20) AS t FROM nation UNION ALL SELECT substr(n_name, 1, 2), substr(n_name, 3, 20) FROM nation), p AS (SELECT DISTINCT least(s, t) AS source_key, greatest(s, t) AS target_key, md5(least(s, t) || greatest(s, t)) AS pair, md5(greatest(s, t) || least(s, t)) AS rev FROM r) SELECT source_key, target_key, pair, count(*) OVER (PARTITION BY pair) > 1 AS concat_collision, pair IN (SELECT rev FROM p WHERE rev <> pair) AS reverse_collision FROM p QUALIFY concat_collision OR reverse_collision",
-    "kg_relationship_collisions": "WITH p AS (SELECT DISTINCT least(src_id, tgt_id) AS source_key, greatest(src_id, tgt_id) AS target_key, md5(least(src_id, tgt_id) || greatest(src_id, tgt_id)) AS pair, md5(greatest(src_id, tgt_id) || least(src_id, tgt_id)) AS rev FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL) SELECT source_key, target_key, pair, count(*) OVER (PARTITION BY pair) > 1 AS concat_collision, pair IN (SELECT rev FROM p WHERE rev <> pair) AS reverse_collision FROM p QUALIFY concat_collision OR reverse_collision",
+    "kg_pair_collisions": "WITH p AS (SELECT DISTINCT least(src_id, tgt_id) AS source_key, greatest(src_id, tgt_id) AS target_key, md5(least(src_id, tgt_id) || greatest(src_id, tgt_id)) AS pair, md5(greatest(src_id, tgt_id) || least(src_id, tgt_id)) AS rev FROM custom_kg_relationships WHERE src_id IS NOT NULL AND tgt_id IS NOT NULL) SELECT source_key, target_key, pair, count(*) OVER (PARTITION BY pair) > 1 AS concat_collision, pair IN (SELECT rev FROM p WHERE rev <> pair) AS reverse_collision FROM p QUALIFY concat_collision OR reverse_collision",
     "node_search": "SELECT entity_no, entity_name FROM custom_kg_entities WHERE entity_name ILIKE '%composite%' ORDER BY lower(entity_name), entity_no LIMIT 51",
     "node_resolve": "WITH a AS (SELECT DISTINCT * FROM (SELECT 'id' AS kind, unnest(supported_entity_ids) AS value FROM evidence_fragments UNION ALL SELECT 'label', src_id FROM custom_kg_relationships) WHERE value IS NOT NULL), n AS (SELECT DISTINCT entity_id, entity_name FROM custom_kg_entities), m AS (SELECT kind, value, count(DISTINCT entity_id) AS matches, min(entity_id) AS node FROM a LEFT JOIN (SELECT 'id' AS kind, entity_id AS value, entity_id FROM n UNION ALL SELECT 'label', entity_name, entity_id FROM n) USING (kind, value) GROUP BY 1, 2) SELECT kind, value, CASE WHEN matches = 0 THEN 'unresolved' WHEN matches = 1 THEN 'match' ELSE 'ambiguous' END AS status, CASE WHEN matches = 1 THEN node END AS node FROM m",
     "node_search_typed": "SELECT entity_no, entity_name, n > 50 AS more FROM (SELECT *, count(*) OVER () AS n FROM custom_kg_entities WHERE entity_name ILIKE '%of%' AND entity_type = 'Process') ORDER BY lower(entity_name), entity_no LIMIT 50",
@@ -318,4 +312,4 @@ ORACLE_SQL = {
     "event_quota_windows": "SELECT user_id AS scope, date_trunc('hour', ts) AS window_start, count(*) AS requests, round(sum(value), 4) AS amount FROM events GROUP BY 1, 2",
     "event_streaks": "WITH o AS (SELECT *, CASE WHEN lag(event_type) OVER w = event_type THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), r AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM o), n AS (SELECT user_id, event_type, run, count(*) AS n FROM r GROUP BY 1, 2, 3) SELECT user_id, event_type, max(n) AS longest FROM n GROUP BY 1, 2",
 }
-QUERIES = {f.__name__: f for f in (catalog_canonical, catalog_doi, catalog_versions, catalog_merged, catalog_ids, catalog_stats, corpus_inventory, corpus_duplicates, title_groups, fragments_per_source, provenance_chain, first_write_wins, kg_entities, kg_relationships, kg_missing_ends, kg_alias_merge, kg_pair_ids, kg_pair_collisions, kg_relationship_collisions, node_search, node_search_typed, node_resolve, lexical_rank, rrf_fusion, budget_select, cosine_topk, vector_dedupe, vector_norms, vector_audit, embedding_text, sentence_counts, token_counts_by_language, chunk_documents, evidence_scores, evidence_retained, section_forward, event_quota_windows, event_streaks)}
+QUERIES = {f.__name__: f for f in (catalog_canonical, catalog_doi, catalog_versions, catalog_merged, catalog_ids, catalog_stats, corpus_inventory, corpus_duplicates, title_groups, fragments_per_source, provenance_chain, first_write_wins, kg_entities, kg_relationships, kg_missing_ends, kg_alias_merge, kg_pair_ids, kg_pair_collisions, node_search, node_search_typed, node_resolve, lexical_rank, rrf_fusion, budget_select, cosine_topk, vector_dedupe, vector_norms, vector_audit, embedding_text, sentence_counts, token_counts_by_language, chunk_documents, evidence_scores, evidence_retained, section_forward, event_quota_windows, event_streaks)}

@@ -6,8 +6,13 @@ A record has a path; other known columns are recognised by any of their names, u
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarryweave.functions.dois import doi_key
 
@@ -30,7 +35,7 @@ def record_columns(cells: Column) -> list[Column]:
         named[column] = F.coalesce(*(F.nullif(F.trim(cells[n]), F.lit("")) for n in names))
     taken = [n for names in ALIASES.values() for n in names]
     path = named["relative_path"]
-    size = F.expr("CAST(NULL AS BIGINT)") if cells is None else named["byte_size"].try_cast("bigint")
+    size = named["byte_size"].try_cast("bigint")
     return [
         path.alias("relative_path"),
         F.coalesce(named["display_title"], F.element_at(F.split(path, "/"), -1)).alias("display_title"),
@@ -48,12 +53,32 @@ def _finish(rows: DataFrame) -> DataFrame:
 
 
 def jsonl_records(lines: DataFrame) -> DataFrame:
-    """Records of lines (``value``), batch or stream; blank lines are none, repeated keys and bad JSON are problems."""
+    """Records of lines (``value``), batch or stream; blank lines are none, repeated keys and bad JSON are problems.
+
+    Keys are repeated when they are equal as field names (``Title`` and ``title``); the record then
+    comes out with ``problem`` and without cells.
+    """
     parsed = lines.filter(F.trim("value") != "").select("value", F.try_parse_json("value").alias("v"))
-    cells = F.from_json("value", "map<string,string>")
     problem = F.when(F.octet_length("value") > MOST_LINE_BYTES, "line too long").when(F.col("v").isNull(), "not a JSON object").when(F.schema_of_variant("v").rlike("^OBJECT").__invert__(), "not a JSON object")
-    lower = F.map_from_entries(F.transform(F.map_entries(F.coalesce(F.when(problem.isNull(), cells), F.create_map().cast("map<string,string>"))), lambda e: F.struct(F.regexp_replace(F.lower(e["key"]), r"[\s\-.]+", "_").alias("key"), e["value"])))
-    return _finish(parsed.select(lower.alias("cells"), problem.alias("problem")))
+    entries = F.map_entries(F.coalesce(F.when(problem.isNull(), F.from_json("value", "map<string,string>")), F.create_map().cast("map<string,string>")))
+    read = parsed.select(problem.alias("problem"), entries.alias("entries"))
+    # all names of a record are one string for the exchange with Python
+    named = read.withColumn("names", F.split(field_name_list(F.array_join(F.transform("entries", lambda e: e["key"]), "\x1f")), "\x1f"))
+    repeated = (F.size("entries") > 0) & (F.size(F.array_distinct("names")) < F.size("names"))
+    named = named.withColumn("problem", F.coalesce("problem", F.when(repeated, "repeated field")))
+    empty = F.create_map().cast("map<string,string>")
+    cells = F.when(F.col("problem").isNull() & (F.size("entries") > 0), F.map_from_arrays("names", F.transform("entries", lambda e: e["value"]))).otherwise(empty)
+    return _finish(named.select(cells.alias("cells"), "problem"))
+
+
+@F.pandas_udf(T.StringType())
+def field_name_list(joined: pd.Series) -> pd.Series:
+    """Field names of names joined by a unit separator, joined again."""
+    return joined.map(lambda x: "\x1f".join(_name(n) for n in x.split("\x1f")))
+
+
+def _name(raw: str) -> str:
+    return re.sub(r"[\s\-.]+", "_", unicodedata.normalize("NFKC", raw).strip().casefold())
 
 
 def read_jsonl_manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -61,10 +86,16 @@ def read_jsonl_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; quoted cells may hold line ends; rows with another number of fields are problems."""
-    header = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    schema = ", ".join(f"`{c}` string" for c in header.columns)
-    rows = spark.read.schema(schema + ", _bad string").csv(path, header=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
-    names = [c.strip().lower().replace(" ", "_").replace("-", "_").replace(".", "_") for c in header.columns]
-    cells = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(f"`{c}`") for c in header.columns)))
+    """CSV with a header; quoted cells may hold line ends, so that one file is read by one task; rows with another number of fields are problems.
+
+    A header that names a field twice makes every record a problem.
+    """
+    header = spark.read.csv(path, header=False, multiLine=True, escape='"').first()
+    titles = [c or "" for c in header] if header else []
+    names = [_name(c) for c in titles]
+    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    rows = spark.read.schema((schema + ", " if schema else "") + "_bad string").csv(path, header=True, enforceSchema=True, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_bad")
+    if len(set(names)) < len(names):
+        return _finish(rows.select(F.create_map().cast("map<string,string>").alias("cells"), F.lit("repeated field").alias("problem")))
+    cells = F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*(F.col(f"c{i}") for i in range(len(names)))))
     return _finish(rows.select(cells.alias("cells"), F.when(F.col("_bad").isNotNull(), "field count").alias("problem")))
