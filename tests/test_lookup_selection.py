@@ -1,9 +1,12 @@
 import random
+import sqlite3
 from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarryweave import sources
+from quarryweave.functions import checks
 from quarryweave.functions.keys import entity_key
 from quarryweave.operators import graph, knowledge, lookup, sections, selection
 from quarryweave.sources import read_csv_manifest, read_jsonl_manifest
@@ -83,7 +86,7 @@ def test_rejected_sources(spark):
 def test_blocks_with_page_and_section(spark):
     text = "# The Title\n\n> 来源: scan\nIntro line one\nline two\r\n<!-- PAGE 3 -->\n\n## Section A ##\ntext a\n![x](y.png)\nmore a\n# 第 4 页\n---\nafter\n[Blank Page]\n# The title\nend"
     df = spark.createDataFrame([(1, text, "The title"), (2, None, "x"), (3, "", "x")], "no int, text string, title string").withColumn("kind", F.lit(1)).withColumn("line", F.lit(2))
-    got = [tuple(r) for r in sections.text_blocks(df, "no", "text", "title").orderBy("row", "block_no").collect()]
+    got = [tuple(r) for r in sections.text_blocks(df, "no", "text", "title").drop("path").orderBy("row", "block_no").collect()]
     assert got == [
         (1, 1, None, None, "text", "Intro line one\nline two"), (1, 2, 3, "Section A", "heading", "Section A"), (1, 3, 3, "Section A", "text", "text a"), (1, 4, 3, "Section A", "text", "more a"),
         (1, 5, 4, "Section A", "text", "after"), (1, 6, 4, "The title", "heading", "The title"), (1, 7, 4, "The title", "text", "end"),
@@ -117,3 +120,45 @@ def test_modularity_and_attachment(spark):
     assert attached == groups | {"c0": "b"}
     numbered = {r["node"]: r["number"] for r in graph.ordered_groups(spark.createDataFrame(list(attached.items()), "node string, community string")).collect()}
     assert numbered["b0"] == numbered["c0"] == 0 and numbered["a3"] == 1 and numbered["d1"] == 2
+
+
+def test_paths_of_sections(spark):
+    text = "# A\na\n### C\nc\n## B\nb\n# D\nd\n## E\ne"
+    got = [(r["body"], r["path"]) for r in sections.text_blocks(spark.createDataFrame([(1, text, "x")], "no int, text string, title string"), "no", "text", "title").filter("kind = 'text'").orderBy("block_no").collect()]
+    assert got == [("a", "A"), ("c", "A / C"), ("b", "A / B"), ("d", "D"), ("e", "D / E")]
+
+
+def test_checks(spark):
+    paths = {"a/b.md": "a/b.md", "./a//b/": "a/b", "a\\b": "a/b", "/a": None, "C:\\x": None, "http://x/y": None, "a/../b": None, "..": None, " ": None, "a..b": "a..b", None: None}
+    got = [r[0] for r in spark.createDataFrame([(p,) for p in paths], "p string").select(checks.relative_path(F.col("p"))).collect()]
+    assert got == list(paths.values())
+    texts = {"key sk-abcdefghijklmnop1": (True, False), "Bearer abcdefghijklmnopqrst": (True, False), "eyJhbGciOiJI.abcdefghij.klmnopqrst": (True, False), "see \\\\nas01\\share": (False, True), "at D:/data": (False, True), "smb://host/x": (False, True), "ratio 3:1 and a:b": (False, False)}
+    got = [tuple(r) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(F.col("t").rlike(checks.SECRET), F.col("t").rlike(checks.INTERNAL_PLACE)).collect()]
+    assert got == list(texts.values())
+    one = spark.range(1).select(checks.bounded_label(F.lit("a  b\tcdef"), 5).alias("a"), checks.type_pair(F.lit("Z"), F.lit(None).cast("string")).alias("b"), checks.mention_weight(F.lit(0)).alias("c"), checks.rgb(F.lit("#0aFf10")).alias("d"), checks.rgb(F.lit("red")).alias("e")).first()
+    assert tuple(one) == ("a b …", "Other|Z", 1.0, [10, 255, 16], None)
+
+
+def test_bundles_are_whole_or_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(2, "b", None), (1, "ä", [1, 2]), (1, "ä", [1, 2])], "no int, name string, x array<int>")
+    path = f"file://{tmp_path}/bundle"
+    sources.write_bundle({"rows": (rows, ["no"]), "none": (rows.limit(0), ["no"])}, path, generation="g1")
+    back = sources.read_bundle(spark, path, ["rows", "none"])
+    assert sorted(map(str, back["rows"].collect())) == sorted(map(str, rows.collect())) and back["none"].count() == 0
+    assert sources.table_digest(rows.repartition(3)).first() == sources.table_digest(rows.coalesce(1)).first()
+    with pytest.raises(ValueError):
+        sources.read_bundle(spark, path, ["rows"])
+    rows.limit(1).write.mode("overwrite").json(f"{path}/rows.jsonl")
+    with pytest.raises(ValueError):
+        sources.read_bundle(spark, path)
+
+
+def test_sqlite_in_parts(spark, tmp_path):
+    db = sqlite3.connect(tmp_path / "x.db")
+    db.execute("create table node (id integer primary key, name text)")
+    db.executemany("insert into node values (?, ?)", [(i * 3, f"n{i}") for i in range(50)])
+    db.commit()
+    assert rows_of(sources.read_sqlite(spark, str(tmp_path / "x.db"), "node", "id long, name string", parts=4)) == [(i * 3, f"n{i}") for i in range(50)]
+    for table, schema in (("node", "id long, kind string"), ("node; drop", "id long")):
+        with pytest.raises(ValueError):
+            sources.read_sqlite(spark, str(tmp_path / "x.db"), table, schema)
