@@ -30,11 +30,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all intermediate tables written so far; results that were not written or collected yet can't be read any more."""
+    while _WRITTEN:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def materialise(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` to the shared folder and return a reader of it; removed when the JVM ends."""
+    """Write ``df`` to the shared folder and return a reader of it; removed by ``release``, or when the JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/quarryweave/{label}-{uuid.uuid4().hex}"
     schema = df.schema
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)

@@ -17,12 +17,11 @@ def ingest_manifest_stream(spark: SparkSession, folder: str, table_path: str, ch
 
     def merge(batch: DataFrame, number: int) -> None:
         fresh = batch.dropDuplicates(["version_key"])
-        try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path)
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            # of the table only the keys of other batches are read
             known = spark.read.parquet(table_path).filter(F.col("batch") != number).select("version_key")
             fresh = fresh.join(known, "version_key", "left_anti")
-        except Exception as missing:  # the table's first batch
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
         fresh.write.mode("overwrite").parquet(f"{table_path}/batch={number}")
 
     return named.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
