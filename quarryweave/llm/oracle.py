@@ -36,7 +36,7 @@ _GROUPS = f"{_NUMBERED}, kept AS ({' UNION ALL '.join(_value(f, _FIELDS[f], 2) f
 _TYPES = {"directory_year": "INT", "byte_size": "BIGINT"}
 _SURVIVORS = f"{_NUMBERED}, kept AS ({' UNION ALL '.join(_value(f, u, 1) for f, u in _FIELDS.items())}), every AS (SELECT DISTINCT group_no, n_rows FROM num) SELECT group_no, any_value(n_rows) AS n_rows, " + ", ".join(f"CAST(max(kept) FILTER (field_name = '{f}') AS {_TYPES.get(f, 'VARCHAR')}) AS {f}" for f in _FIELDS) + " FROM every LEFT JOIN kept USING (group_no) GROUP BY 1"
 
-_UNITS = "u AS (SELECT vector_index AS i, CAST(embedding AS DOUBLE[]) AS v FROM vectors WHERE CASE WHEN embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL)) = 0 THEN list_dot_product(embedding, embedding) > 0 ELSE false END), near AS (SELECT a.i AS i, b.i AS j, list_cosine_similarity(a.v, b.v) AS cosine FROM u a JOIN u b ON a.i <> b.i QUALIFY row_number() OVER (PARTITION BY a.i ORDER BY round(cosine, 9) DESC, b.i) <= 10)"
+_UNITS = "u AS (SELECT vector_index AS i, CAST(embedding AS DOUBLE[]) AS v FROM vectors WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL)) = 0 AND list_dot_product(list_transform(embedding, lambda x: coalesce(x, 0)), list_transform(embedding, lambda x: coalesce(x, 0))) > 0), near AS (SELECT a.i AS i, b.i AS j, list_cosine_similarity(a.v, b.v) AS cosine FROM u a JOIN u b ON a.i <> b.i QUALIFY row_number() OVER (PARTITION BY a.i ORDER BY round(cosine, 9) DESC, b.i) <= 10)"
 
 ORACLE_SQL = {
     "p3_found": "SELECT DISTINCT scan_no FROM textbook_sources JOIN size_limits ON limit_name = source_family AND unit = 'bytes' WHERE octet_length(encode(text)) > max_size",
