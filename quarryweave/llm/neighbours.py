@@ -1,17 +1,18 @@
-"""The k most similar vectors of every vector: a hierarchical small-world graph for each shard.
+"""The k most similar vectors of every vector: shards by nearest centre, large ones with a hierarchical small-world graph.
 
 Vectors are dealt to shards by the nearest of some centres (fitted on a bounded sample, all vectors
 are indexed); a centre with more vectors than one graph may hold is split by a hash into several.
-Many centres are fitted in two levels and found through the upper one.  Each shard's graph is built in
-blocks: a block searches the graph so far and itself, keeps a diverse choice of what it finds and links
-back.  The graph is stored as flat arrays (vectors, neighbour places, level sizes), one row for each
-shard, in the shared folder.
-
-Every vector then searches the graphs of all centres that are at most a margin less similar to it than
-its nearest one, so that a vector between several shards asks more of them than one in the midst of
-its own.  The margin is fitted on a bounded sample of queries: within it lie the shards of a share of
-their true neighbours.  The answers of the shards are merged.  With ``exact`` the k-th of these answers
-is a bound, and every vector is also compared with all others over a grid of blocks.
+Many centres are fitted in two levels and found through the upper one.  A shard of up to ``WHOLE_ROWS``
+vectors is compared as a whole; a larger one has a graph, built in blocks: a block searches the graph so
+far and itself, keeps a diverse choice of what it finds and links back.
+
+Every vector asks the shards of all centres that are at most a margin less similar to it than its nearest
+one, so that a vector between several shards asks more of them than one in the midst of its own.  The
+margin is fitted on a bounded sample of queries and their true neighbours, looked for in all vectors:
+within it lie the shards of a share of them (of those of a stated cosine, which tell each other of it).
+Members and askers of a shard come to it in one exchange, the only one that vectors go through (where
+very many are copies of others, those are taken out by a join before).  The answers are merged.  With ``exact`` the k-th of these answers is a bound, and every vector is also
+compared with all others over a grid of blocks.
 
 Exact copies are one vertex of the graph and come back as neighbours of each other.
 """
@@ -23,20 +24,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryweave.plans import materialise
 
-#: Vectors a centre stands for, vectors one graph holds at most, queries searched together.
-SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 1_000, 16_000, 8_000
+#: Vectors a centre stands for, vectors one part of a shard holds at most, queries searched together.
+SHARD_ROWS, GRAPH_ROWS, QUERY_ROWS = 4_000, 16_000, 32_000
+#: Vectors of a shard up to which it has no graph but is compared as a whole; similar ones looked at beyond those wanted, for rounding.
+WHOLE_ROWS, SPARE = 16_000, 8
+#: Rows about copies that are sent to all executors (about 50 MB); more are joined.
+MARKS_SENT = 500_000
 #: Samples that centres and margin are fitted on: vectors, queries among them, vectors for each centre of the lower level.
-CENTRE_SAMPLE, MARGIN_QUERIES, CELL_SAMPLE = 16_384, 2_048, 32
+CENTRE_SAMPLE, MARGIN_QUERIES, CELL_SAMPLE = 32_768, 2_048, 32
 #: Centres from which on there are two levels, and how many there are at most (a broadcast of 64 MB at 64 numbers each);
-#: that is 262 million vectors, beyond them shards grow to GRAPH_ROWS (4 billion), then they are split.
-ONE_LEVEL, MOST_CENTRES = 512, 262_144
+#: that is a billion vectors, beyond them shards grow to GRAPH_ROWS (4 billion), then they are split.
+ONE_LEVEL, MOST_CENTRES = 4_096, 262_144
 #: Share of the sampled queries' true neighbours whose shards lie within the margin.
-WANTED_SHARE = 0.995
+WANTED_SHARE = 0.999
+#: The same for neighbours of a stated cosine, where a pair is missed only if neither finds the other; sampled pairs this rests on at least.
+NEAR_SHARE, LEAST_PAIRS = 1.0, 500
 #: Links of a vertex above the ground level (twice as many there), breadth of search when building and asking.
 LINKS, BUILD_BREADTH, SEARCH_BREADTH = 12, 48, 48
 #: Queries and vectors of one cell of the grid that finds what the margin and the graphs miss.
@@ -220,27 +227,12 @@ class Graph:
             values.append(value[:, :k])
         return np.concatenate(places), np.concatenate(values)
 
-    def flat(self) -> dict[str, bytes | list[int]]:
-        return {"vectors": self.vectors.tobytes(), "links": np.concatenate([x.ravel() for x in self.links]).tobytes(), "sizes": [int(s) for s in self.sizes]}
-
-    @classmethod
-    def of_flat(cls, vectors: bytes, links: bytes, sizes: list[int], dim: int) -> "Graph":
-        v = np.frombuffer(vectors, dtype=np.float32).reshape(-1, dim)
-        flat, out, at = np.frombuffer(links, dtype=np.int32), [], 0
-        n = len(v)
-        base = len(flat) // n // (len(sizes) + 1)
-        for level in range(len(sizes)):
-            width = base * (2 if level == 0 else 1)
-            out.append(flat[at : at + n * width].reshape(n, width))
-            at += n * width
-        return cls(v, out, list(sizes))
-
 
 def fit_centres(sample: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
     """Unit centres by spherical k-means, started from evenly spread rows of the sample."""
     centres = sample[np.linspace(0, len(sample) - 1, count).astype(int)].copy()
     for _ in range(rounds):
-        owner = (sample @ centres.T).argmax(axis=1)
+        owner = np.concatenate([(sample[a : a + 4096] @ centres.T).argmax(axis=1) for a in range(0, len(sample), 4096)])
         sums = np.zeros_like(centres)
         np.add.at(sums, owner, sample)
         norms = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -258,6 +250,9 @@ class Centres:
 
     def near(self, unit: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, centre, similarity) of all centres within the margin of each row's nearest one, the nearest of a row first."""
+        if len(unit) > 2_000:
+            found = [(rows + a, cells, value) for a in range(0, len(unit), 2_000) for rows, cells, value in [self.near(unit[a : a + 2_000], margin)]]
+            return tuple(np.concatenate(x) for x in zip(*found, strict=True))
         sims = unit @ self.upper.T
         rows, cells = np.nonzero(sims >= sims.max(axis=1, keepdims=True) - max(margin, 0.0))
         if self.lower is None:
@@ -280,27 +275,75 @@ class Centres:
         return rows[order], cells[order].astype(np.int32), value[order]
 
 
-def fit_margin(centres: Centres, sample: np.ndarray, k: int, queries: int = MARGIN_QUERIES, share: float = WANTED_SHARE) -> float:
-    """How much less similar a centre may be than the nearest one, so that the shards of a share of the sample's neighbours lie within.
+def _margin(cosines: np.ndarray, gaps: np.ndarray, share: float, at_least: float) -> float:
+    """The gap within which a share of neighbours lie."""
+    if at_least <= -1 or not len(gaps):
+        return float(np.quantile(gaps, share)) if len(gaps) else 0.0
+    order = np.argsort(-cosines, kind="stable")
+    return float(np.quantile(gaps[order[: max(LEAST_PAIRS, int((cosines >= at_least).sum()))]], NEAR_SHARE))
+
+
+def _owners(centres: Centres, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each row, and its similarity."""
+    rows, cells, value = centres.near(unit, 0.0)
+    first = np.append(True, np.diff(rows) > 0)
+    return cells[first], value[first]
+
 
-    Neighbours within a sample are farther than those within all vectors, which makes the margin wide
-    rather than narrow.
+def _sample_gaps(batches: Iterator[np.ndarray], centres: Centres, asked: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, cosine, gap) of the ``k`` most similar of the batches for each query; a vector equal to it is itself."""
+    flat = centres.upper if centres.lower is None else np.concatenate(centres.lower)
+    _, best = _owners(centres, asked)
+    query, cosine, gap = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), np.zeros(0, dtype=np.float32)
+    bound = np.full(len(asked), -2.0, dtype=np.float32)
+    for unit in batches:
+        for a in range(0, len(unit), 4_096):
+            block = unit[a : a + 4_096]
+            sims = asked @ block.T
+            near = sims > bound[:, None]
+            if near.sum() > 4 * k * len(asked):
+                top = np.argpartition(-sims, min(k, sims.shape[1] - 1), axis=1)[:, : k + 1]
+                near[:] = False
+                np.put_along_axis(near, top, True, axis=1)
+            r, c = np.nonzero(near)
+            other = (asked[r] != block[c]).any(axis=1)
+            r, c = r[other], c[other]
+            if not len(r):
+                continue
+            some, at = np.unique(c, return_inverse=True)
+            cells, _ = _owners(centres, block[some])
+            query, cosine = np.append(query, r), np.append(cosine, sims[r, c])
+            gap = np.append(gap, best[r] - np.einsum("md,md->m", flat[cells[at]], asked[r]))
+            order = np.lexsort((-cosine, query))
+            query, cosine, gap = query[order], cosine[order], gap[order]
+            place = np.arange(len(query)) - np.searchsorted(query, query)
+            query, cosine, gap, place = query[place < k], cosine[place < k], gap[place < k], place[place < k]
+            bound[query[place == k - 1]] = cosine[place == k - 1]
+    return query, cosine, gap
+
+
+def fit_margin(centres: Centres, sample: np.ndarray, k: int, queries: int = MARGIN_QUERIES, share: float = WANTED_SHARE, at_least: float = -2.0, among: DataFrame | None = None) -> float:
+    """How much less similar a centre may be than the nearest one, so that the shards of a share of the sampled queries' neighbours lie within.
+
+    Neighbours are looked for in the whole table ``among`` (``vec``), without one in the sample: those of a
+    sample are farther than the true ones, the more so the larger the table.
     """
     if centres.count < 2 or len(sample) < 2:
         return 0.0
-    rows, cells, _ = centres.near(sample, 0.0)
-    own = np.full(len(sample), -1)
-    own[rows[::-1]] = cells[::-1]
-    flat = centres.upper if centres.lower is None else np.concatenate(centres.lower)
-    gaps = []
-    for a in range(0, min(queries, len(sample)), 256):
-        asked = sample[a : a + 256]
-        sims = asked @ sample.T
-        sims[np.arange(len(asked)), np.arange(a, a + len(asked))] = -2
-        near = np.argpartition(-sims, min(k, sims.shape[1] - 1) - 1, axis=1)[:, :k]
-        best = np.einsum("md,md->m", asked, flat[own[a : a + len(asked)]])
-        gaps.append((best[:, None] - np.einsum("mkd,md->mk", flat[own[near]], asked)).ravel())
-    return float(np.quantile(np.concatenate(gaps), share))
+    asked = sample[:queries]
+    if among is None:
+        _, cosines, gaps = _sample_gaps(iter([sample]), centres, asked, k)
+        return _margin(cosines, gaps, share, at_least)
+    shared = among.sparkSession.sparkContext.broadcast((centres, asked))
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        query, cosine, gap = _sample_gaps((_units(b["vec"]).astype(np.float32) for b in batches if len(b)), *shared.value, k)
+        yield pd.DataFrame({"query": query, "cosine": cosine, "gap": gap})
+
+    # MARGIN_QUERIES rows at most
+    each = among.select("vec").mapInPandas(look, "query long, cosine float, gap float").groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("far"), "gap"))), 1, k).alias("near"))
+    found = each.select(F.explode("near").alias("x")).select((-F.col("x.far")).alias("cosine"), "x.gap").toPandas()
+    return _margin(found["cosine"].to_numpy(), found["gap"].to_numpy(), share, at_least)
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -316,7 +359,7 @@ def usable_vectors(vectors: DataFrame, row: str, embedding: str, dim: int) -> Da
     return rows.filter((F.size("vec") == dim) & finite & F.exists("vec", lambda x: x != 0) & F.col("idx").isNotNull())
 
 
-def _fit_all(distinct: DataFrame, sample: np.ndarray, count: int, one_level: int) -> Centres:
+def _fit_all(distinct: DataFrame, total: int, sample: np.ndarray, count: int, one_level: int) -> Centres:
     """So many centres; the lower of two levels is fitted for each upper one apart, on a bounded sample of its vectors."""
     count = min(count, MOST_CENTRES)
     if count <= one_level:
@@ -334,7 +377,7 @@ def _fit_all(distinct: DataFrame, sample: np.ndarray, count: int, one_level: int
     wanted = np.maximum(1, np.round(owner / max(len(sample), 1) * count)).astype(int)
     most = int(wanted.max()) * CELL_SAMPLE
     # CELL_SAMPLE vectors for each centre in all, of whatever number of vectors
-    drawn = distinct.filter(F.pmod("key", F.lit(1_000_003)) < F.lit(math.ceil(1_000_003 * min(1.0, 2 * CELL_SAMPLE * each * len(upper.value) / max(distinct.count(), 1)))))
+    drawn = distinct.filter(F.pmod("key", F.lit(1_000_003)) < F.lit(math.ceil(1_000_003 * min(1.0, 2 * CELL_SAMPLE * each * len(upper.value) / max(total, 1)))))
     ranked = drawn.mapInPandas(place, "vec array<float>, key long, cell int").withColumn("at", F.row_number().over(Window.partitionBy("cell").orderBy("key"))).filter(F.col("at") <= most)
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
@@ -348,7 +391,47 @@ def _fit_all(distinct: DataFrame, sample: np.ndarray, count: int, one_level: int
     return Centres(upper.value, [fitted.get(c, upper.value[c : c + 1]) for c in range(len(upper.value))])
 
 
-def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim: int = 64, shard_rows: int = SHARD_ROWS, breadth: int = SEARCH_BREADTH, share: float = WANTED_SHARE, exact: bool = False, one_level: int = ONE_LEVEL) -> DataFrame:
+def _unit_rows(raw: np.ndarray) -> np.ndarray:
+    raw = raw.astype(np.float64)
+    raw /= np.abs(raw).max(axis=1, keepdims=True)
+    return raw / np.linalg.norm(raw, axis=1, keepdims=True)
+
+
+def _top(unit: np.ndarray, names: np.ndarray, asks: np.ndarray, own: np.ndarray, k: int, breadth: int, whole_rows: int, at_least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row of asks, name, cosine)`` of the ``k`` most similar others: a small shard is compared as a whole, a larger one has a graph."""
+    near = np.ascontiguousarray(unit.astype(np.float32).T)
+    graph = Graph.build(unit.astype(np.float32)) if len(unit) > whole_rows else None
+    width = min(len(unit), k + 1 + SPARE)
+    step = max(64, min(1024, 4_000_000 // len(unit)))
+    for a in range(0, len(asks), step):
+        block = asks[a : a + step]
+        if graph is not None:
+            place, _ = graph.search(block.astype(np.float32), width, max(breadth, width))
+            there = place < len(unit)
+            place = np.where(there, place, 0)
+        else:
+            sims = block.astype(np.float32) @ near
+            close = sims >= at_least - 1e-5
+            # with a stated cosine most rows have few, or none but themselves
+            most = min(width, int(close.sum(axis=1).max()))
+            if most < width:
+                r, c = np.nonzero(close)
+                place, there = np.zeros((len(block), max(1, most)), dtype=np.int64), np.zeros((len(block), max(1, most)), dtype=bool)
+                at = np.arange(len(r)) - np.searchsorted(r, r)
+                place[r, at], there[r, at] = c, True
+            else:
+                place = np.argpartition(sims, len(unit) - width, axis=1)[:, len(unit) - width :]
+                there = np.ones(place.shape, dtype=bool)
+        value = np.einsum("mkd,md->mk", unit[place], block)
+        name = names[place]
+        value[~there | (name == own[a : a + step, None])] = -np.inf
+        order = np.lexsort((name, -value), axis=1)[:, :k]
+        value, name = np.take_along_axis(value, order, 1), np.take_along_axis(name, order, 1)
+        r, c = np.nonzero(value > -np.inf)
+        yield r + a, name[r, c], value[r, c]
+
+
+def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim: int = 64, shard_rows: int = SHARD_ROWS, breadth: int = SEARCH_BREADTH, share: float = WANTED_SHARE, exact: bool = False, one_level: int = ONE_LEVEL, at_least: float = -2.0, asked: Column | None = None) -> DataFrame:
     """``(idx, neighbour, cosine, rank)``: about the ``k`` most similar other vectors of each usable one.
 
     Null vectors, such of another length than ``dim``, with a null, NaN or infinite element or of
@@ -356,81 +439,116 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     are ranked by ``neighbour``.  Repeated rows of one ``row`` value count once if their vectors are
     equal.  An empty table gives no rows.  ``share`` is the share of sampled neighbours whose shards
     must be asked; ``exact`` compares all vectors in blocks too, which misses none and grows with the
-    square of the vectors.
+    square of the vectors.  Of the ``k``, those below the cosine ``at_least`` are left out, and rows for
+    which ``asked`` (over ``idx``) does not hold; neither is carried along.
     """
     spark = vectors.sparkSession
+    # vectors stay in their table and are read again; 128 bits of hashes stand for them until they are dealt to shards
+    usable = usable_vectors(vectors, row, embedding, dim).withColumns({"key": F.xxhash64("vec"), "twin": F.xxhash64(F.lit(1), "vec")})
+    same = ["key", "twin"]
     # one vertex for each distinct vector, with the k + 1 first of its copies (each row needs at most k others)
-    usable = materialise(usable_vectors(vectors, row, embedding, dim).distinct().withColumn("key", F.xxhash64(F.col("vec"))), "vectors")
+    keys = materialise(usable.select("idx", *same).distinct(), "keys")
     # at most HOT_SHARE vectors, as their shares add up to one
-    counted = usable.groupBy("vec").agg(F.count("*").alias("n"), F.min("idx").alias("rep"))
-    hot = materialise(counted.filter(F.col("n") * HOT_SHARE > max(usable.count(), HOT_LEAST * HOT_SHARE)).select("vec", "rep"), "hot")
-    ordered = Window.partitionBy("vec").orderBy("idx")
-    rest = usable.join(F.broadcast(hot.select("vec")), "vec", "left_anti")
-    rest = rest.withColumn("n", F.row_number().over(ordered)).withColumn("rep", F.min("idx").over(Window.partitionBy("vec")))
-    dealt_out = usable.join(F.broadcast(hot), "vec").withColumn("part", F.pmod(F.xxhash64("idx"), F.lit(HOT_PARTS)))
-    dealt_out = dealt_out.withColumn("n", F.row_number().over(Window.partitionBy("vec", "part").orderBy("idx"))).drop("part")
+    counted = keys.groupBy(*same).agg(F.count("*").alias("n"), F.min("idx").alias("rep"))
+    hot = materialise(counted.filter(F.col("n") * HOT_SHARE > max(keys.count(), HOT_LEAST * HOT_SHARE)).select(*same, "rep"), "hot")
+    ordered = Window.partitionBy(*same).orderBy("idx")
+    rest = keys.join(F.broadcast(hot.select(*same)), same, "left_anti")
+    rest = rest.withColumn("n", F.row_number().over(ordered)).withColumn("rep", F.min("idx").over(Window.partitionBy(*same)))
+    dealt_out = keys.join(F.broadcast(hot), same).withColumn("part", F.pmod(F.xxhash64("idx"), F.lit(HOT_PARTS)))
+    dealt_out = dealt_out.withColumn("n", F.row_number().over(Window.partitionBy(*same, "part").orderBy("idx"))).drop("part")
     first = dealt_out.filter(F.col("n") <= k + 1).withColumn("n", F.row_number().over(ordered))
-    columns = ["idx", "rep", "n", "vec", "key"]
+    columns = ["idx", "rep", "n", *same]
     copies = rest.select(*columns).unionByName(first.select(*columns)).unionByName(dealt_out.filter(F.col("n") > k + 1).select(*columns))
-    copies = materialise(copies.select("idx", "rep", "n", F.when(F.col("n") == 1, F.col("vec")).alias("vec"), "key"), "copies")
-    distinct = copies.filter("n = 1").select("idx", "vec", "key")
-    total = distinct.count()
+    copies = materialise(copies, "copies")
+    total = copies.filter("n = 1").count()
     if total == 0:
         return spark.createDataFrame([], "idx long, neighbour long, cosine double, rank int")
 
+    # later copies are no vertices; the first one asks for all
+    later = copies.filter("n > 1")
+    marks = materialise(later.select("idx", *same, F.lit(False).alias("vertex")).unionByName(later.filter("n = 2").select(F.col("rep").alias("idx"), *same, F.lit(True).alias("vertex"))), "marks")
+    marked = usable.join(F.broadcast(marks) if marks.count() <= MARKS_SENT else marks, ["idx", *same], "left").filter(F.coalesce("vertex", F.lit(True)))
+    asking = F.lit(True) if asked is None else F.coalesce("vertex", asked, F.lit(False))
+    distinct = marked.select("idx", "vec", "key", asking.alias("asks"))
     count = min(MOST_CENTRES, max(1, math.ceil(total / shard_rows)))
-    sample = distinct.orderBy("key", "idx").limit(CENTRE_SAMPLE).select("vec").toPandas()["vec"]  # CENTRE_SAMPLE rows
+    # keys are spread evenly: twice as many of the smallest as are wanted
+    low = F.col("key") <= F.lit(min(2**63 - 1, 2**65 * CENTRE_SAMPLE // total - 2**63))
+    sample = distinct.filter(low).orderBy("key", "idx").limit(CENTRE_SAMPLE).select("vec").toPandas()["vec"]  # CENTRE_SAMPLE rows
+    if not len(sample):
+        sample = distinct.orderBy("key", "idx").limit(CENTRE_SAMPLE).select("vec").toPandas()["vec"]
     sample = _units(sample).astype(np.float32)
-    centres = _fit_all(distinct, sample, count, one_level)
-    margin = fit_margin(centres, sample, k, share=share)
+    centres = _fit_all(distinct, total, sample, count, one_level)
+    margin = fit_margin(centres, sample, k, share=share, at_least=at_least, among=distinct if total > len(sample) else None)
     count = centres.count
     centres = spark.sparkContext.broadcast(centres)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def near_of(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, centre, whether it is the row's nearest), rows that don't ask with their nearest only."""
+        rows, cells, _ = centres.value.near(_units(batch["vec"]).astype(np.float32), margin)
+        own = np.append(True, np.diff(rows) > 0)
+        sent = own | batch["asks"].to_numpy(dtype=bool)[rows]
+        return rows[sent], cells[sent], own[sent]
+
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        members, queries = np.zeros(count, dtype=np.int64), np.zeros(count, dtype=np.int64)
         for batch in batches:
             if len(batch):
-                rows, cells, _ = centres.value.near(_units(batch["vec"]).astype(np.float32), margin)
-                yield batch[["idx", "vec", "key"]].assign(near=np.split(cells, np.flatnonzero(np.diff(rows)) + 1))
+                rows, cells, own = near_of(batch)
+                members += np.bincount(cells[own], minlength=count)
+                queries += np.bincount(cells[batch["asks"].to_numpy(dtype=bool)[rows]], minlength=count)
+        some = np.flatnonzero(members + queries)
+        yield pd.DataFrame({"centre": some, "members": members[some], "queries": queries[some]})
 
-    dealt = materialise(distinct.mapInPandas(assign, "idx long, vec array<float>, key long, near array<int>"), "dealt")
-    sizes = dealt.groupBy(F.col("near")[0].alias("centre")).agg(F.count("*").alias("rows"))
-    asks = dealt.select(F.explode("near").alias("centre")).groupBy("centre").agg(F.count("*").alias("queries"))
     # one row for each centre, MOST_CENTRES at most
-    shards = materialise(asks.join(sizes, "centre", "left").select("centre", F.ceil(F.coalesce("rows", F.lit(0)) / GRAPH_ROWS).cast("int").alias("salts"), F.ceil(F.col("queries") / QUERY_ROWS).cast("int").alias("blocks")), "shards")
-
-    members = dealt.select("idx", "vec", "key", F.col("near")[0].alias("centre")).join(shards, "centre").withColumn("salt", F.pmod("key", F.col("salts")).cast("int"))
-
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("key", kind="stable")  # a random order, the same each time
-        graph = Graph.build(_units(rows["vec"]).astype(np.float32))
-        return pd.DataFrame([{"centre": rows["centre"].iloc[0], "salt": rows["salt"].iloc[0], "places": rows["idx"].to_numpy(), **graph.flat()}])
-
-    graphs = members.groupBy("centre", "salt").applyInPandas(build, "centre int, salt int, places array<long>, vectors binary, links binary, sizes array<int>")
-    graphs = materialise(graphs, "graphs")
-
-    spread = graphs.join(shards.select("centre", "blocks"), "centre").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    questions = dealt.select("idx", "vec", "key", F.explode("near").alias("centre")).join(shards, "centre").filter("salts > 0")
-    questions = questions.withColumn("block", F.pmod(F.hash("key"), F.col("blocks")).cast("int")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-
-    def ask(queries: pd.DataFrame, stored: pd.DataFrame) -> pd.DataFrame:
-        if not len(queries) or not len(stored):
+    tallied = distinct.mapInPandas(tally, "centre long, members long, queries long").groupBy("centre").agg(F.sum("members").alias("members"), F.sum("queries").alias("queries")).toPandas()
+    salts, blocks = np.zeros(count, dtype=np.int64), np.ones(count, dtype=np.int64)
+    salts[tallied["centre"]] = -(-tallied["members"] // GRAPH_ROWS)
+    blocks[tallied["centre"]] = np.maximum(1, -(-tallied["queries"] // QUERY_ROWS))
+    cut = spark.sparkContext.broadcast((salts, blocks, np.cumsum(salts * blocks) - salts * blocks))
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        salts, blocks, first = cut.value
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows, cells, own = near_of(batch)
+            idx, key, asks = batch["idx"].to_numpy(), batch["key"].to_numpy(), batch["asks"].to_numpy(dtype=bool)
+            raw = np.array(batch["vec"].tolist(), dtype=np.float32)
+            # all parts of a shard; a vector is a member of one salt and asks in one block
+            each = (salts * blocks)[cells]
+            at = np.repeat(np.arange(len(rows)), each)
+            part = np.arange(len(at)) - np.repeat(np.cumsum(each) - each, each)
+            salt, block, mine = part // blocks[cells[at]], part % blocks[cells[at]], rows[at]
+            member = own[at] & (salt == key[mine] % np.maximum(1, salts[cells[at]]))
+            ask = asks[mine] & (block == (key[mine] >> 20) % blocks[cells[at]])
+            kept = member | ask
+            mine = mine[kept]
+            data = [v.tobytes() for v in raw]
+            yield pd.DataFrame({"part": (first[cells[at]] + part)[kept], "idx": idx[mine], "vec": [data[i] for i in mine], "role": (member + 2 * ask)[kept].astype(np.int8)})
+
+    def ask(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["idx"].duplicated().any():
+            rows = rows.drop_duplicates(["idx", "vec", "role"])  # rows that came twice
+        role = rows["role"].to_numpy()
+        member, query = (role & 1) > 0, (role & 2) > 0
+        if not member.any() or not query.any():
             return pd.DataFrame({"idx": [], "rep": [], "cosine": []})
-        one = stored.iloc[0]
-        graph = Graph.of_flat(one["vectors"], one["links"], one["sizes"], dim)
-        exact = _units(queries["vec"])
-        place, _ = graph.search(exact.astype(np.float32), k + 1, breadth)
-        known = graph.vectors.astype(np.float64)
-        known[:-1] /= np.linalg.norm(known[:-1], axis=1, keepdims=True)
-        names = np.append(np.asarray(one["places"]), -1)
-        value = np.concatenate([np.einsum("mkd,md->mk", known[place[a : a + 1024]], exact[a : a + 1024]) for a in range(0, len(place), 1024)])
-        own = queries["idx"].to_numpy()
-        found = names[place]
-        keep = (found >= 0) & (found != own[:, None]) & (place < len(known) - 1)
-        r, c = np.nonzero(keep)
-        return pd.DataFrame({"idx": own[r], "rep": found[r, c], "cosine": value[r, c]})
-
-    answers = questions.select("idx", "vec", "centre", "salt", "block").groupBy("centre", "salt", "block").cogroup(spread.groupBy("centre", "salt", "block")).applyInPandas(ask, "idx long, rep long, cosine double")
-    # of each shard at most k + 1 rows a vector: its probes times the salts bound what is gathered
+        unit, idx = _unit_rows(np.frombuffer(b"".join(rows["vec"]), dtype=np.float32).reshape(len(rows), dim)), rows["idx"].to_numpy()
+        # a random order, the same each time
+        order = np.flatnonzero(member)[np.lexsort((idx[member], pd.util.hash_array(idx[member])))]
+        own, out = idx[query], []
+        for r, name, value in _top(unit[order], idx[order], unit[query], own, k, breadth, WHOLE_ROWS, at_least):
+            keep = value >= at_least
+            out.append(pd.DataFrame({"idx": own[r[keep]], "rep": name[keep], "cosine": value[keep]}))
+        return pd.concat(out)
+
+    answers = distinct.mapInPandas(deal, "part long, idx long, vec binary, role byte").groupBy("part").applyInPandas(ask, "idx long, rep long, cosine double")
+    if at_least > -1:
+        # few rows; whoever finds a neighbour is one of it, unless its list is full of nearer ones
+        answers = materialise(answers, "found")
+        answers = answers.unionByName(answers.select(F.col("rep").alias("idx"), F.col("idx").alias("rep"), "cosine"))
+        answers = answers.groupBy("idx", "rep").agg(F.max("cosine").alias("cosine"))
+    # of each shard at most k rows a vector: its probes times the salts bound what is gathered
     nearest = lambda df: df.groupBy("idx").agg(F.slice(F.array_sort(F.collect_set(F.struct((-F.col("cosine")).alias("far"), "rep"))), 1, k).alias("near"))
     best = materialise(nearest(answers), "answers")
 
@@ -452,10 +570,10 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
                 out.append(pd.DataFrame({"idx": own[a + r][keep], "rep": names[c][keep], "cosine": value[keep]}))
             return pd.concat(out)
 
-        bounds = best.select("idx", F.when(F.size("near") == k, -F.element_at("near", -1)["far"]).otherwise(F.lit(-2.0)).alias("bound"))
-        asking = dealt.select("idx", "vec", "key").join(bounds, "idx", "left").withColumn("bound", F.coalesce("bound", F.lit(-2.0)))
+        bounds = best.select("idx", F.when(F.size("near") == k, -F.element_at("near", -1)["far"]).otherwise(F.lit(at_least)).alias("bound"))
+        asking = distinct.filter("asks").select("idx", "vec", "key").join(bounds, "idx", "left").withColumn("bound", F.coalesce("bound", F.lit(at_least)))
         asking = asking.withColumn("stripe", F.pmod(F.hash("key"), F.lit(stripes))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).drop("key")
-        stored = dealt.select(F.col("idx").alias("rep"), F.col("vec").alias("known"), F.pmod(F.hash("key"), F.lit(parts)).alias("part")).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
+        stored = distinct.select(F.col("idx").alias("rep"), F.col("vec").alias("known"), F.pmod(F.hash("key"), F.lit(parts)).alias("part")).withColumn("stripe", F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))))
         missed = asking.groupBy("stripe", "part").cogroup(stored.groupBy("stripe", "part")).applyInPandas(compare, "idx long, rep long, cosine double")
         known = best.select("idx", F.explode("near").alias("x")).select("idx", F.col("x.rep").alias("rep"), (-F.col("x.far")).alias("cosine"))
         both = known.unionByName(missed).groupBy("idx", "rep").agg(F.max("cosine").alias("cosine"))
@@ -466,7 +584,8 @@ def most_similar(vectors: DataFrame, row: str, embedding: str, k: int = 10, dim:
     others = of_rep.join(few.filter(F.col("n") <= k), "rep").select("rep_a", "neighbour", "cosine")
     own = few.filter(F.col("n") > 0).select(F.col("rep").alias("rep_a"), "neighbour", F.lit(1.0).alias("cosine"))
     listed = others.unionByName(own).groupBy("rep_a").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("cosine")).alias("far"), "neighbour"))), 1, k + 1).alias("near"))
-    every, crowded = copies.select("idx", F.col("rep").alias("rep_a")), F.broadcast(hot.select(F.col("rep").alias("rep_a")))
+    every = copies.select("idx", F.col("rep").alias("rep_a"))
+    every, crowded = every if asked is None else every.filter(asked), F.broadcast(hot.select(F.col("rep").alias("rep_a")))
     each = every.join(crowded, "rep_a", "left_anti").join(listed, "rep_a").unionByName(every.join(F.broadcast(listed.join(crowded, "rep_a", "left_semi")), "rep_a"))
     near = F.slice(F.filter(F.col("near"), lambda x: x["neighbour"] != F.col("idx")), 1, k)
     return each.select("idx", F.posexplode(near).alias("at", "x")).select("idx", F.col("x.neighbour").alias("neighbour"), (-F.col("x.far")).alias("cosine"), (F.col("at") + 1).cast("int").alias("rank"))
