@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryweave.operators.propagation import propagate
 from quarryweave.plans import materialise
 
 
@@ -103,6 +104,16 @@ def pagerank(nodes: DataFrame, edges: DataFrame, left: str, right: str, rounds:
     return rank.select("node", "rank")
 
 
+def in_order(nodes: DataFrame, *order: str) -> DataFrame:
+    """The rows with ``at``, their place from 0 in the order of some columns."""
+    ranked = nodes.repartitionByRange(*order)
+    # numbers over a range partitioning: rows of the parts before, then within the part
+    ranked = materialise(ranked.withColumn("part", F.spark_partition_id()), "ranked")
+    before = ranked.groupBy("part").agg(F.count("*").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return ranked.withColumn("place", place).join(F.broadcast(before.select("part", "offset")), "part").withColumn("at", (F.col("place") - 1 + F.col("offset")).cast("long")).drop("part", "place", "offset")
+
+
 def communities(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """``(node, community)`` by weighted label propagation: the heaviest label around, of equal ones the smallest; own label counts half a link.
 
@@ -111,25 +122,25 @@ def communities(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     node and round changes.  So the weight of links inside communities rises by more than half a link with
     every change, and the rounds come to an end.  Weights are whole numbers of links.
     """
-    links = materialise(both_ways(pairs), "links")
-    label = materialise(nodes.select("node").distinct().withColumn("community", F.col("node")), "labels")
-    turn = 0
-    while True:
-        votes = links.join(label.withColumnRenamed("node", "other"), "other").groupBy("node", "community").agg(F.sum("weight").alias("votes"))
-        own = label.withColumn("votes", F.lit(0.5))
-        ranked = votes.select("node", "community", F.col("votes").cast("double")).unionByName(own).groupBy("node", "community").agg(F.sum("votes").alias("votes"))
-        best = ranked.groupBy("node").agg(F.min(F.struct((-F.col("votes")).alias("n"), "community")).alias("b")).select("node", F.col("b.community").alias("wish"))
-        wishes = label.join(best, "node").filter("community <> wish").withColumn("turn", F.xxhash64("node", F.lit(turn)))
-        wishes = materialise(wishes, "wishes")
-        if wishes.isEmpty():
-            return label
-        one = wishes.select("node", F.struct("turn", "node").alias("t"), F.col("community").alias("c"), F.col("wish").alias("w"))
-        two = wishes.select(F.col("node").alias("other"), F.struct("turn", F.col("node").alias("node")).alias("ot"), F.col("community").alias("oc"), F.col("wish").alias("ow"))
-        is_ = lambda a, b: (F.col(a) == F.col(b)).cast("int")
-        undone = links.join(one, "node").join(two, "other").filter((is_("w", "oc") + is_("ow", "c") > is_("w", "ow") + is_("c", "oc")) & (F.col("t") > F.col("ot")))
-        moved = wishes.join(undone.select("node").distinct(), "node", "left_anti").select("node", "wish")
-        label = materialise(label.join(moved, "node", "left").select("node", F.coalesce("wish", "community").alias("community")), "labels")
-        turn += 1
+    named = materialise(in_order(nodes.select("node").distinct(), "node").withColumn("key", F.col("at")), "nodes")
+    end = lambda n: named.select(F.col("node").alias(n), F.col("key").alias(f"k_{n}"))
+    keyed = materialise(pairs.join(end("a"), "a").join(end("b"), "b").select(F.col("k_a").alias("a"), F.col("k_b").alias("b"), "weight"), "links")
+    return keyed_communities(named, keyed, keyed.count())[0]
+
+
+def keyed_communities(named: DataFrame, links: DataFrame, size: int, weights: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """``communities`` of nodes (``node``, ``key``, and ``at``, its place in their order) over about ``size`` links of keys, which may be repeated.
+
+    With ``weights`` also ``(community, other, weight)``: the weight between communities in both directions, that inside a community twice.
+    """
+    found, between = propagate(named, links, named.count(), size, weights)
+    name = lambda at, n: named.select(F.col("at").alias(at), F.col("node").alias(n))
+    # a node without a key has no links
+    labels = named.select("node", "at").join(found, "at", "left").select("node", F.coalesce("label", "at").alias("label"))
+    groups = materialise(labels.join(name("label", "community"), "label").select("node", "community"), "labels")
+    if weights:
+        between = materialise(between.join(name("label", "community"), "label").join(name("other", "name"), "other").select("community", F.col("name").alias("other"), "weight"), "between")
+    return groups, between
 
 
 def neighbourhood(pairs: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:

@@ -78,8 +78,20 @@ def graph_pagerank(spark, folder):
     return G.pagerank(_nodes(spark, folder), materialise(_edges(spark, folder), "edges"), "l", "r", rounds=10).select("node", F.round("rank", 7).alias("rank"))
 
 
+def _communities(spark, folder, weights=False):
+    """Communities over customers of even keys and parts of odd ones, each order line a link; and the weight between communities."""
+    key = lambda c, odd: 2 * F.col(c).cast("long") + odd
+    name = lambda kind, c: F.concat(F.lit(kind), F.col(c).cast("string"))
+    customers, parts = read_table(spark, folder, "customer"), read_table(spark, folder, "part")
+    nodes = customers.select(name("c", "c_custkey").alias("node"), key("c_custkey", 0).alias("key")).unionByName(parts.select(name("p", "p_partkey").alias("node"), key("p_partkey", 1).alias("key")))
+    orders = read_table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
+    links = lines.join(orders, "l_orderkey").select(key("o_custkey", 0).alias("a"), key("l_partkey", 1).alias("b"), F.lit(1).alias("weight"))
+    return G.keyed_communities(materialise(G.in_order(nodes.distinct(), "node"), "nodes"), links, lines.count(), weights)
+
+
 def graph_communities(spark, folder):
-    return G.communities(_nodes(spark, folder), _pairs(spark, folder))
+    return _communities(spark, folder)[0]
 
 
 def graph_layout_edges(spark, folder):
