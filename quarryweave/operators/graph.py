@@ -131,7 +131,7 @@ def communities(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
 def keyed_communities(named: DataFrame, links: DataFrame, size: int, weights: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """``communities`` of nodes (``node``, ``key``, and ``at``, its place in their order) over about ``size`` links of keys, which may be repeated.
 
-    With ``weights`` also ``(community, other, weight)``: the weight between communities in both directions, that inside a community twice.
+    With ``weights`` also ``(community, other, weight)``, as ``between_groups`` has it.
     """
     found, between = propagate(named, links, named.count(), size, weights)
     name = lambda at, n: named.select(F.col("at").alias(at), F.col("node").alias(n))
@@ -183,12 +183,22 @@ def bounded_neighbourhood(pairs: DataFrame, centres: DataFrame, hops: int, max_n
     return reached, edges
 
 
-def modularity(pairs: DataFrame, groups: DataFrame, node: str, group: str, resolution: float = 1.0) -> DataFrame:
-    """One row: how much more weight lies inside groups than the degrees of their nodes let expect, from -0.5 to 1."""
+def between_groups(pairs: DataFrame, groups: DataFrame, node: str, group: str) -> DataFrame:
+    """``(community, other, weight)``: weights between groups in both directions, those inside a group twice."""
     of = groups.select(F.col(node).alias("node"), F.col(group).alias("g"))
     tagged = pairs.join(of.select(F.col("node").alias("a"), F.col("g").alias("ga")), "a").join(of.select(F.col("node").alias("b"), F.col("g").alias("gb")), "b")
-    ends = tagged.select("weight", (F.col("ga") == F.col("gb")).alias("inner"), F.explode(F.array("ga", "gb")).alias("g"))
-    sums = ends.groupBy("g").agg(F.sum("weight").alias("degree"), F.sum(F.when(F.col("inner"), F.col("weight")).otherwise(0)).alias("inside"))
+    ways = F.array(F.struct(F.col("ga").alias("community"), F.col("gb").alias("other")), F.struct(F.col("gb").alias("community"), F.col("ga").alias("other")))
+    return tagged.select("weight", F.explode(ways).alias("e")).groupBy("e.community", "e.other").agg(F.sum("weight").alias("weight"))
+
+
+def modularity(pairs: DataFrame, groups: DataFrame, node: str, group: str, resolution: float = 1.0) -> DataFrame:
+    """One row: how much more weight lies inside groups than the degrees of their nodes let expect, from -0.5 to 1."""
+    return modularity_between(between_groups(pairs, groups, node, group), resolution)
+
+
+def modularity_between(between: DataFrame, resolution: float = 1.0) -> DataFrame:
+    """``modularity`` by the weights between groups (``between_groups``)."""
+    sums = between.groupBy("community").agg(F.sum("weight").alias("degree"), F.sum(F.when(F.col("community") == F.col("other"), F.col("weight")).otherwise(0)).alias("inside"))
     whole = sums.agg(F.sum("degree").alias("whole"), F.sum("inside").alias("inside"), F.sum(F.col("degree").cast("double") * F.col("degree")).alias("squares"), F.count("*").alias("groups"))
     return whole.select("groups", (F.col("inside") / F.col("whole") - F.lit(resolution) * F.col("squares") / (F.col("whole").cast("double") * F.col("whole"))).alias("modularity"))
 
@@ -198,14 +208,16 @@ def attach_small(pairs: DataFrame, groups: DataFrame, least: int) -> DataFrame:
 
     Of equal weights the smaller name wins; a small group that touches no large one stays as it is.
     """
-    sizes = groups.groupBy("community").agg(F.count("*").alias("size"))
-    named = materialise(groups.join(sizes, "community").select("node", "community", (F.col("size") >= least).alias("large")), "sized")
-    end = lambda n: named.select(F.col("node").alias(n), F.col("community").alias(f"c_{n}"), F.col("large").alias(f"l_{n}"))
-    tagged = pairs.join(end("a"), "a").join(end("b"), "b").filter("l_a <> l_b")
-    cross = tagged.select(F.when(F.col("l_a"), F.col("c_b")).otherwise(F.col("c_a")).alias("community"), F.when(F.col("l_a"), F.col("c_a")).otherwise(F.col("c_b")).alias("major"), "weight")
-    best = cross.groupBy("community", "major").agg(F.sum("weight").alias("weight")).groupBy("community").agg(F.min(F.struct((-F.col("weight")).alias("w"), "major")).alias("b"))
-    moved = named.filter("not large").join(best, "community", "left").select("node", F.coalesce("b.major", "community").alias("community"))
-    return named.filter("large").select("node", "community").unionByName(moved)
+    major = attached_between(between_groups(pairs, groups, "node", "community"), groups, least)
+    return groups.join(major, "community").select("node", F.col("major").alias("community"))
+
+
+def attached_between(between: DataFrame, groups: DataFrame, least: int) -> DataFrame:
+    """``(community, major)``: each group and the one ``attach_small`` lets its nodes go to, often itself."""
+    sizes = materialise(groups.groupBy("community").agg((F.count("*") >= least).alias("large")), "sized")
+    cross = between.join(sizes.filter("not large").select("community"), "community", "left_semi").join(sizes.filter("large").select(F.col("community").alias("other")), "other", "left_semi")
+    best = cross.groupBy("community").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("other").alias("major"))).alias("b"))
+    return sizes.join(best, "community", "left").select("community", F.coalesce("b.major", "community").alias("major"))
 
 
 def ordered_groups(groups: DataFrame) -> DataFrame:

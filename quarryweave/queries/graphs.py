@@ -130,10 +130,13 @@ def graph_neighbourhood_2(spark, folder):
 
 def graph_partitions(spark, folder):
     """Communities, small ones attached to the major one they share most weight with, numbered by size; and how good both are."""
-    pairs = _pairs(spark, folder)
-    first = materialise(G.communities(_nodes(spark, folder), pairs), "communities")
-    last = materialise(G.ordered_groups(G.attach_small(pairs, first, LEAST_SIZE)), "partitions")
-    rows = [G.modularity(pairs, first, "node", "community").withColumn("step", F.lit("found")), G.modularity(pairs, last, "node", "number").withColumn("step", F.lit("attached"))]
+    first, between = _communities(spark, folder, weights=True)
+    major = materialise(G.attached_between(between, first, LEAST_SIZE), "attached")
+    last = G.ordered_groups(first.join(major, "community").select("node", F.col("major").alias("community")))
+    numbers = last.select(F.col("community").alias("major"), "number").distinct()
+    number = materialise(major.join(numbers, "major").select("community", "number"), "numbers")
+    after = between.join(number, "community").join(number.select(F.col("community").alias("other"), F.col("number").alias("n")), "other").groupBy(F.col("number").alias("community"), F.col("n").alias("other")).agg(F.sum("weight").alias("weight"))
+    rows = [G.modularity_between(between).withColumn("step", F.lit("found")), G.modularity_between(after).withColumn("step", F.lit("attached"))]
     return rows[0].unionByName(rows[1]).select("step", "groups", F.round("modularity", 6).alias("modularity"))
 
 

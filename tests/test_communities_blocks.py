@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -5,6 +6,7 @@ import numpy as np
 import pytest
 
 from quarryweave.operators import graph, propagation
+from quarryweave.queries import graphs
 
 
 def by_hand(nodes, pairs):
@@ -65,3 +67,14 @@ def test_weights_between_communities(spark):
         want[of[f"c{a}"], of[f"p{b}"]] += w
         want[of[f"p{b}"], of[f"c{a}"]] += w
     assert {(r["community"], r["other"]): r["weight"] for r in between.collect()} == want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+def test_partitions_equal_those_of_pairs(spark):
+    folder = "/root/testdata/sf0.001"
+    got = {r["step"]: (r["groups"], r["modularity"]) for r in graphs.graph_partitions(spark, folder).collect()}
+    pairs, first = graphs._pairs(spark, folder), graphs.graph_communities(spark, folder)
+    last = graph.attach_small(pairs, first, graphs.LEAST_SIZE)
+    for step, groups in (("found", first), ("attached", last)):
+        one = graph.modularity(pairs, groups, "node", "community").first()
+        assert got[step] == (one["groups"], pytest.approx(one["modularity"], abs=1e-6))
